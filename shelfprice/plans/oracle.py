@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from ..constants import (ITEM_COLUMNS, PACK_SIZE_PATTERN, PRICED_CATEGORIES, STORE_CITY,
                          UNIT_HINTS, WHITESPACE_RUN_RE2, WINE_CATEGORY)
-from ..sources.goods import goods_items_sql
+from ..sources.goods import LANDED_DS, goods_items_sql
+from ..sources.reference_pages import reference_cells_sql
 
 
 def _q(s: str) -> str:
@@ -109,3 +110,34 @@ select event_id, coalesce(json_extract_string(props, '$.k'), '') as k,
   coalesce(json_extract_string(props, '$.group.name'), '') as group_name
 from events""",
 })
+
+_KEPT = ITEMS + f""", kept as (
+  select * from (
+    select *, row_number() over (partition by storeId, webUrl order by
+      l_orderkey nulls first, l_linenumber nulls first, l_suppkey nulls first, l_shipdate nulls first,
+      regularPrice nulls first, discountPrice nulls first, subcategoryName nulls first,
+      subTitle nulls first) as rn
+    from items) where rn = 1)
+"""
+_DT = f"'{LANDED_DS}' as DT"
+_NULLED = ", ".join(
+    c if c in ("regularPrice", "discountPrice") else f"nullif({c}, '') as {c}" for c in ITEM_COLUMNS)
+
+_KEPT_AVERAGES = _AVERAGES.replace(ITEMS, _KEPT).replace("from items where", "from kept where")
+
+ORACLE_SQL.update({
+    "landed_items": ITEMS + f"select {ITEM_LIST} from items",
+    "crawl_coverage": ITEMS + """
+select storeId, cast(0 as bigint) as bad_lines, count(*) as items_seen,
+  count(distinct webUrl) as distinct_items, count(distinct webUrl) as total, true as complete
+from items group by storeId""",
+    "ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
+    "html_first_table": reference_cells_sql(),
+    "salary_tables": reference_cells_sql(f", {_DT}"),
+    "daily_run": _KEPT_AVERAGES + f"""
+select storeId, categoryName, subcategoryName, avg_price_discount_new, avg_price_regular_new,
+  {CITY} as city, {_DT} from a""",
+    "export_csv": _KEPT + f"select {_NULLED} from kept",
+    "partition_overwrite": ITEMS + f"select {ITEM_LIST}, {_DT} from items",
+    "csv_round_trip": ITEMS + f"select {_NULLED} from items",
+})

@@ -18,7 +18,16 @@ from ..operators.items import flatten_json, keep_first, project_items, with_stam
 from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
 from ..operators.stores import with_city
-from ..sources.goods import GOODS_ORDER, goods_items
+from ..operators.aggregates import crawl_coverage
+from ..operators.items import explode_pages
+from ..session import scratch_path
+from ..sinks.files import read_csv, write_csv, write_daily
+from ..sources.daily import read_daily
+from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
+from ..sources.html_tables import html_first_table
+from ..sources.landing import read_landed_pages
+from ..sources.reference_pages import pages_with_table
+from . import jobs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +117,76 @@ def q_json_flatten(spark, sf_dir):
         "event_id", "k", "group_name")
 
 
+# --- landing, sinks, jobs -----------------------------------------------------
+
+def _land(spark, sf_dir) -> str:
+    """Lands the goods listings of ``sf_dir`` as JSON pages in a fresh folder."""
+    return land_goods(table(spark, sf_dir, "lineitem"), scratch_path(spark, "landing"))
+
+
+def _dt_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("DT", F.col("DT").cast("string"))
+
+
+def q_landed_items(spark, sf_dir):
+    pages = read_landed_pages(spark, _land(spark, sf_dir))
+    return project_items(jobs.landed_items(pages))
+
+
+def q_crawl_coverage(spark, sf_dir):
+    pages = read_landed_pages(spark, _land(spark, sf_dir))
+    seen = explode_pages(pages).select("storeId", "sku.webUrl")
+    # page counts depend on how the fixture cut pages, so they are left out here
+    return crawl_coverage(pages, seen).select(
+        "storeId", "bad_lines", "items_seen", "distinct_items", "total", "complete")
+
+
+def q_ingest_items(spark, sf_dir):
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    jobs.ingest(spark, _land(spark, sf_dir), tables, LANDED_DS)
+    return _dt_text(read_daily(spark, tables.raw))
+
+
+def reference_pages(spark, sf_dir):
+    return pages_with_table(table(spark, sf_dir, "pages"))
+
+
+def q_html_first_table(spark, sf_dir):
+    return html_first_table(reference_pages(spark, sf_dir))
+
+
+def q_salary_tables(spark, sf_dir):
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    jobs.salary(reference_pages(spark, sf_dir), tables, LANDED_DS)
+    return _dt_text(read_daily(spark, tables.salary))
+
+
+def q_daily_run(spark, sf_dir):
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    jobs.daily_run(spark, _land(spark, sf_dir), reference_pages(spark, sf_dir), tables, LANDED_DS)
+    return _dt_text(read_daily(spark, tables.unit_prices))
+
+
+def q_export_csv(spark, sf_dir):
+    out = scratch_path(spark, "export")
+    jobs.export_csv(spark, _land(spark, sf_dir), out)
+    return read_csv(spark, out)
+
+
+def q_partition_overwrite(spark, sf_dir):
+    root = scratch_path(spark, "raw")
+    items = project_items(items_of(spark, sf_dir))
+    write_daily(items.filter(F.col("categoryName") == "Сыр"), root, LANDED_DS)  # first attempt
+    write_daily(items, root, LANDED_DS)                                         # rerun replaces it
+    return _dt_text(read_daily(spark, root))
+
+
+def q_csv_round_trip(spark, sf_dir):
+    out = scratch_path(spark, "csv")
+    write_csv(project_items(items_of(spark, sf_dir)), out)
+    return read_csv(spark, out)
+
+
 QUERIES: dict[str, QueryFn] = {
     "pack_size": q_pack_size,
     "unit_price_discount": _unit_price("discount"),
@@ -123,6 +202,15 @@ QUERIES: dict[str, QueryFn] = {
     "ingest_stamp": q_ingest_stamp,
     "parse_timestamp": q_parse_timestamp,
     "json_flatten": q_json_flatten,
+    "landed_items": q_landed_items,
+    "crawl_coverage": q_crawl_coverage,
+    "ingest_items": q_ingest_items,
+    "html_first_table": q_html_first_table,
+    "salary_tables": q_salary_tables,
+    "daily_run": q_daily_run,
+    "export_csv": q_export_csv,
+    "partition_overwrite": q_partition_overwrite,
+    "csv_round_trip": q_csv_round_trip,
 }
 
 ITEM_COLUMN_LIST = list(ITEM_COLUMNS)
