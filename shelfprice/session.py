@@ -22,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Parquet DT partitions are overwritten by path; keep static semantics.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }

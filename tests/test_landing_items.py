@@ -1,0 +1,102 @@
+"""Landed pages -> items (R1, T1-T7) and the crawl audit (A3) on hand-made pages."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from shelfprice.constants import ITEM_COLUMNS
+from shelfprice.operators.aggregates import crawl_coverage
+from shelfprice.operators.items import explode_pages
+from shelfprice.plans import jobs
+from shelfprice.sources.landing import read_landed_pages
+
+
+def sku(url, title="T", **kw):
+    base = {"code": url.strip("/"), "title": title, "brand": "B", "subTitle": "Россия, 750 г",
+            "description": "d", "regularPrice": 100.0, "discountPrice": 90.0, "webUrl": url,
+            "image": {"fullSize": "/img" + url},
+            "categories": {"group": {"name": "G"}, "category": {"name": "Сыр"},
+                           "subcategory": {"name": "S"}}}
+    base.update(kw)
+    return base
+
+
+def page(store, offset, skus, total=5, fetched="2024-01-12T03:00:00.5Z"):
+    return json.dumps({"storeId": store, "offset": offset, "fetchedAt": fetched,
+                       "total": total, "skus": skus}, ensure_ascii=False)
+
+
+LINES = [
+    page("0124", 0, [sku("/a", title="\n\tСыр  мягкий\x1c"), sku("/b", image=None),
+                     sku("/a", title="second copy in page")]),
+    page("0124", 24, [sku("/a", title="copy on later page"),
+                      sku("/c", categories={"category": {"name": "Сыр"}}),
+                      sku("/d", categories={"group": None, "category": {"name": None},
+                                            "subcategory": {}}, extra_key=1),
+                      sku("/e", title=None)]),
+    page("0124", 48, [], total=0),
+    page("0091", 0, [sku("/a", title="other store")], total=1),
+    '{"storeId": "0091", "offset": 24, "skus": [ broken',
+]
+
+
+def land(tmp, lines):
+    os.makedirs(tmp, exist_ok=True)
+    with open(os.path.join(tmp, "part-0.json"), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    return tmp
+
+
+def test_flatten_and_keep_first(spark, tmp_path):
+    pages = read_landed_pages(spark, land(str(tmp_path / "l"), LINES))
+    items = jobs.crawl_items(pages)
+    assert items.columns == list(ITEM_COLUMNS)
+    rows = {(r.storeId, r.webUrl): r for r in items.collect()}
+    assert len(rows) == 6
+    a = rows[("0124", "/a")]
+    assert a.title == " Сыр мягкий "  # runs collapse to one space, ends not trimmed
+    assert a.timestamp == "2024-01-12T06:00:00.500000+03:00"
+    assert rows[("0091", "/a")].title == "other store"  # dedupe is per store
+    assert rows[("0124", "/b")].imageUrl == ""
+    c = rows[("0124", "/c")]
+    assert (c.groupName, c.categoryName, c.subcategoryName) == ("", "Сыр", "")
+    d = rows[("0124", "/d")]
+    assert (d.groupName, d.categoryName, d.subcategoryName) == ("", "", "")
+    assert rows[("0124", "/e")].title is None
+
+
+def test_landed_items_keep_every_copy(spark, tmp_path):
+    pages = read_landed_pages(spark, land(str(tmp_path / "l"), LINES))
+    assert jobs.landed_items(pages).count() == 8
+
+
+def test_bad_page_policy(spark, tmp_path):
+    path = land(str(tmp_path / "l"), LINES)
+    pages = read_landed_pages(spark, path, with_file=True)
+    bad = pages.filter(F.col("_corrupt_record").isNotNull()).select("storeId", "source_file").collect()
+    assert len(bad) == 1 and bad[0].storeId is None and bad[0].source_file == "part-0.json"
+    import pytest
+    with pytest.raises(Exception):
+        read_landed_pages(spark, path, on_bad_page="fail").count()
+
+
+def test_crawl_coverage(spark, tmp_path):
+    pages = read_landed_pages(spark, land(str(tmp_path / "l"), LINES))
+    seen = explode_pages(pages).select("storeId", "sku.webUrl")
+    got = {r.storeId: r.asDict() for r in crawl_coverage(pages, seen).collect()}
+    assert got["0124"] == {"storeId": "0124", "pages": 3, "bad_lines": 0, "items_seen": 7,
+                           "distinct_items": 5, "total": 5, "complete": True}
+    assert got["0091"]["distinct_items"] == 1 and got["0091"]["complete"] is True
+    assert got[None]["bad_lines"] == 1 and got[None]["pages"] == 1
+
+
+def test_page_split_does_not_change_items(spark, tmp_path):
+    """Cutting the same crawl into different pages gives the same items."""
+    skus = [sku(f"/{i % 7}", title=f"t{i}") for i in range(30)]
+    one = [page("0124", 0, skus)]
+    many = [page("0124", i, skus[i:i + 4]) for i in range(0, 30, 4)]
+    a = jobs.crawl_items(read_landed_pages(spark, land(str(tmp_path / "a"), one))).collect()
+    b = jobs.crawl_items(read_landed_pages(spark, land(str(tmp_path / "b"), many))).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert {r.title for r in a} == {f"t{i}" for i in range(7)}
