@@ -132,6 +132,7 @@ select storeId, cast(0 as bigint) as bad_lines, count(*) as items_seen,
   count(distinct webUrl) as distinct_items, count(distinct webUrl) as total, true as complete
 from items group by storeId""",
     "ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
+    "stream_ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
     "html_first_table": reference_cells_sql(),
     "salary_tables": reference_cells_sql(f", {_DT}"),
     "daily_run": _KEPT_AVERAGES + f"""

@@ -1,0 +1,47 @@
+"""Incremental ingest: later batches never re-add a URL kept earlier; replays add nothing."""
+
+import json
+import os
+
+from shelfprice.plans import jobs
+from shelfprice.sources.daily import read_daily
+from shelfprice.streaming.ingest_stream import stream_ingest
+
+
+def page(store, offset, urls, title):
+    skus = [{"code": u, "title": title, "webUrl": u, "regularPrice": 1.0, "discountPrice": 1.0,
+             "categories": {"category": {"name": "Сыр"}}} for u in urls]
+    return json.dumps({"storeId": store, "offset": offset, "fetchedAt": "2024-01-12T03:00:00Z",
+                       "total": 4, "skus": skus}, ensure_ascii=False)
+
+
+def drop(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    tmp = os.path.join(folder, "." + name)
+    with open(tmp, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    os.rename(tmp, os.path.join(folder, name))  # appear atomically, as a landing job does
+
+
+def test_stream_keeps_first_across_batches(spark, tmp_path, scratch):
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    ckpt = scratch("ckpt")
+    drop(landing, "b1.json", [page("0124", 0, ["/a", "/b", "/a"], "first"), page("0091", 0, ["/a"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()
+    drop(landing, "b2.json", [page("0124", 24, ["/b", "/c"], "second"), page("0091", 24, ["/d"], "second")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()  # nothing new
+    got = {(r.storeId, r.webUrl): r.title for r in read_daily(spark, tables.raw).collect()}
+    assert got == {("0124", "/a"): "first", ("0124", "/b"): "first", ("0124", "/c"): "second",
+                   ("0091", "/a"): "first", ("0091", "/d"): "second"}
+
+
+def test_replayed_batch_adds_nothing(spark, tmp_path, scratch):
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    drop(landing, "b1.json", [page("0124", 0, ["/a", "/b"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt1")).awaitTermination()
+    # a fresh checkpoint replays the same files: the written table already holds them
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt2")).awaitTermination()
+    assert read_daily(spark, tables.raw).count() == 2
