@@ -27,13 +27,14 @@ from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
 from ..sources.html_tables import html_first_table
 from ..sources.landing import read_landed_pages
 from ..sources.reference_pages import pages_with_table
+from ..sources.tables import read_table
 from . import jobs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def items_of(spark: SparkSession, sf_dir: str) -> DataFrame:
