@@ -104,7 +104,7 @@ _STAMP = """
 ORACLE_SQL.update({
     "ingest_stamp": f"select event_id, stamp from ({_STAMP})",
     "parse_timestamp": f"""
-select event_id, stamp, epoch_us(ts) as ts_micros, cast(null as bigint) as bad_text_micros from ({_STAMP})""",
+select event_id, stamp, epoch_us(ts) as ts_micros, true as bad_text_is_null from ({_STAMP})""",
     "json_flatten": """
 select event_id, coalesce(json_extract_string(props, '$.k'), '') as k,
   coalesce(json_extract_string(props, '$.group.name'), '') as group_name

@@ -109,7 +109,7 @@ def q_parse_timestamp(spark, sf_dir):
     return ev.select(
         "event_id", "stamp",
         F.unix_micros(parse_stamp(F.col("stamp"))).alias("ts_micros"),
-        F.unix_micros(parse_stamp(F.col("event_type"))).alias("bad_text_micros"))
+        parse_stamp(F.col("event_type")).isNull().alias("bad_text_is_null"))
 
 
 def q_json_flatten(spark, sf_dir):
