@@ -19,7 +19,6 @@ from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
 from ..operators.stores import with_city
 from ..operators.aggregates import crawl_coverage
-from ..operators.items import explode_pages
 from ..session import scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
@@ -154,9 +153,8 @@ def q_landed_items(spark, sf_dir):
 
 def q_crawl_coverage(spark, sf_dir):
     pages = read_landed_pages(spark, _land(spark, sf_dir))
-    seen = explode_pages(pages).select("storeId", "sku.webUrl")
     # page counts depend on how the fixture cut pages, so they are left out here
-    return crawl_coverage(pages, seen).select(
+    return crawl_coverage(pages).select(
         "storeId", "bad_lines", "items_seen", "distinct_items", "total", "complete")
 
 

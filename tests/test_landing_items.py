@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfprice.constants import ITEM_COLUMNS
 from shelfprice.operators.aggregates import crawl_coverage
-from shelfprice.operators.items import explode_pages
 from shelfprice.plans import jobs
 from shelfprice.sources.landing import read_landed_pages
 
@@ -83,8 +82,7 @@ def test_bad_page_policy(spark, tmp_path):
 
 def test_crawl_coverage(spark, tmp_path):
     pages = read_landed_pages(spark, land(str(tmp_path / "l"), LINES))
-    seen = explode_pages(pages).select("storeId", "sku.webUrl")
-    got = {r.storeId: r.asDict() for r in crawl_coverage(pages, seen).collect()}
+    got = {r.storeId: r.asDict() for r in crawl_coverage(pages).collect()}
     assert got["0124"] == {"storeId": "0124", "pages": 3, "bad_lines": 0, "items_seen": 7,
                            "distinct_items": 5, "total": 5, "complete": True}
     assert got["0091"]["distinct_items"] == 1 and got["0091"]["complete"] is True
