@@ -123,9 +123,12 @@ _LANDED: dict[tuple[str, str], str] = {}
 
 
 def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # cannot check: land again
+        return False
 
 
 def _land(spark, sf_dir) -> str:
@@ -134,7 +137,7 @@ def _land(spark, sf_dir) -> str:
     Landing stands in for the crawler (input data, not an operator under
     test), so it is done once per application and scale factor and reused.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
     path = _LANDED.get(key)
     if path is None or not _exists(spark, path + "/_SUCCESS"):
         path = land_goods(table(spark, sf_dir, "lineitem"), scratch_path(spark, "landing"))

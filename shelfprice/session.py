@@ -44,13 +44,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set one only where it is unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext: use the setting as is
+        sc = None
+    if sc is not None:
+        root = root or sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            root = tempfile.mkdtemp(prefix="shelfprice-ckpt-")
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
     if not root:
-        root = tempfile.mkdtemp(prefix="shelfprice-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+        raise RuntimeError("spark.checkpoint.dir is not set")
     return root.rstrip("/")
 
 
