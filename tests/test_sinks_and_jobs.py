@@ -72,3 +72,24 @@ def test_export_csv_appends(spark, scratch):
     n = read_csv(spark, out).count()
     jobs.export_csv(spark, landing, out)
     assert read_csv(spark, out).count() == 2 * n and n > 0
+
+
+def test_aggregate_from_day_sums_equals_all_rows_at_once(spark, scratch):
+    """J3 over per-day sums == averaging every stored row directly; missing sums are backfilled."""
+    from shelfprice.operators.aggregates import average_unit_prices
+    from shelfprice.operators.prices import price_rows
+    from shelfprice.operators.stores import with_city
+
+    tables = jobs.Tables(scratch("tables"))
+    items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
+    write_daily(items.filter(F.col("storeId") != "0124"), tables.raw, "2024-01-10")
+    write_daily(items.filter(F.col("storeId") != "0091"), tables.raw, "2024-01-11")
+    jobs.aggregate(spark, tables, "2024-01-11")          # sums for 01-10 do not exist yet
+    got = rows(read_daily(spark, tables.unit_prices).drop("DT"))
+    direct = average_unit_prices(price_rows(read_daily(spark, tables.raw).drop("DT"))).transform(with_city)
+    assert got == rows(direct)
+    assert sorted(__import__("shelfprice.sources.daily", fromlist=["x"]).list_days(spark, tables.partials)) \
+        == ["2024-01-10", "2024-01-11"]
+    one_day = average_unit_prices(price_rows(read_daily(spark, tables.raw, ["2024-01-10"]).drop("DT")))
+    jobs.aggregate(spark, tables, "2024-01-12", dates=["2024-01-10"])
+    assert rows(read_daily(spark, tables.unit_prices, ["2024-01-12"]).drop("DT", "city")) == rows(one_day)
