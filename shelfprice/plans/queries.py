@@ -19,7 +19,7 @@ from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
 from ..operators.stores import with_city
 from ..operators.aggregates import crawl_coverage
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
 from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
@@ -122,15 +122,6 @@ def q_json_flatten(spark, sf_dir):
 _LANDED: dict[tuple[str, str], str] = {}
 
 
-def _exists(spark, path: str) -> bool:
-    try:
-        sc = spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
-    except Exception:  # cannot check: land again
-        return False
-
-
 def _land(spark, sf_dir) -> str:
     """Landed JSON pages of the goods listings of ``sf_dir``.
 
@@ -139,7 +130,7 @@ def _land(spark, sf_dir) -> str:
     """
     key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
     path = _LANDED.get(key)
-    if path is None or not _exists(spark, path + "/_SUCCESS"):
+    if path is None or not path_exists(spark, path + "/_SUCCESS"):
         path = land_goods(table(spark, sf_dir, "lineitem"), scratch_path(spark, "landing"))
         _LANDED[key] = path
     return path

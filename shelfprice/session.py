@@ -70,3 +70,13 @@ def as_uri(path: str) -> str:
     if "://" in path or path.startswith("file:"):
         return path
     return "file:" + os.path.abspath(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the cluster's file system (False if unknown)."""
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return False

@@ -11,6 +11,16 @@ dropped.  Here that is a file stream over the landing folder:
     URLs kept by earlier batches (the written table is the only state);
   * the rest is appended to ``<raw>/DT=<ds>``.
 
+With ``csv_out`` the new items also go to CSV (the export the crawler writes
+batch by batch), in one folder per batch, ``<csv_out>/<stream>-batch-<id>``
+(``<stream>`` is derived from the checkpoint path, so a new stream never
+reuses an old stream's folder names); read it
+back with ``read_csv(..., recursive=True)``.  Two sinks need one answer per
+batch, so the batch's new items are first written to
+``<checkpoint>/staged/batch-<id>`` (reused as is if a replay finds it
+complete); the Parquet append anti-joins that staged table against what is
+written, and the CSV folder of the batch is overwritten from it.
+
 A batch that is replayed after a failure finds its own rows already written
 and appends nothing, so output is exactly-once with the stream checkpoint.
 With ``available_now`` the stream drains what has landed and stops.
@@ -18,13 +28,16 @@ With ``available_now`` the stream drains what has landed and stops.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.items import DEDUPE_KEYS
 from ..plans.jobs import Tables, crawl_items
 from ..schema import CORRUPT_COLUMN, PAGE
-from ..sinks.files import daily_path
+from ..session import path_exists
+from ..sinks.files import daily_path, write_csv
 
 
 def _written_keys(spark: SparkSession, path: str) -> DataFrame | None:
@@ -36,7 +49,7 @@ def _written_keys(spark: SparkSession, path: str) -> DataFrame | None:
 
 def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, checkpoint: str,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
-                  processing_time: str = "1 minute") -> StreamingQuery:
+                  processing_time: str = "1 minute", csv_out: str | None = None) -> StreamingQuery:
     reader = (spark.readStream.schema(PAGE)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
@@ -44,13 +57,25 @@ def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, ch
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     pages = reader.json(landing)
     out = daily_path(tables.raw, ds)
+    stream_tag = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:10]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         items = crawl_items(batch)
         seen = _written_keys(batch.sparkSession, out)
         if seen is not None:
             items = items.join(seen, list(DEDUPE_KEYS), "left_anti").select(*items.columns)
-        items.write.mode("append").parquet(out)
+        if csv_out is None:
+            items.write.mode("append").parquet(out)
+            return
+        spark_ = batch.sparkSession
+        staged = f"{checkpoint.rstrip('/')}/staged/batch-{batch_id:08d}"
+        if not path_exists(spark_, staged + "/_SUCCESS"):
+            items.write.mode("overwrite").parquet(staged)
+        new = spark_.read.parquet(staged)
+        seen = _written_keys(spark_, out)
+        fresh = new if seen is None else new.join(seen, list(DEDUPE_KEYS), "left_anti").select(*new.columns)
+        fresh.write.mode("append").parquet(out)
+        write_csv(new, f"{csv_out.rstrip('/')}/{stream_tag}-batch-{batch_id:08d}", mode="overwrite")
 
     writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

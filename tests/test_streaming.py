@@ -45,3 +45,31 @@ def test_replayed_batch_adds_nothing(spark, tmp_path, scratch):
     # a fresh checkpoint replays the same files: the written table already holds them
     stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt2")).awaitTermination()
     assert read_daily(spark, tables.raw).count() == 2
+
+
+def test_stream_exports_new_items_to_csv(spark, tmp_path, scratch):
+    from shelfprice.sinks.files import read_csv
+
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    ckpt, out = scratch("ckpt"), scratch("csv")
+    drop(landing, "b1.json", [page("0124", 0, ["/a", "/b"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt, csv_out=out).awaitTermination()
+    drop(landing, "b2.json", [page("0124", 24, ["/b", "/c"], "second")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt, csv_out=out).awaitTermination()
+    got = sorted((r.webUrl, r.title) for r in read_csv(spark, out, recursive=True).collect())
+    assert got == [("/a", "first"), ("/b", "first"), ("/c", "second")]
+    assert read_daily(spark, tables.raw).count() == 3
+
+
+def test_csv_export_new_stream_keeps_old_batches(spark, tmp_path, scratch):
+    from shelfprice.sinks.files import read_csv
+
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    out = scratch("csv")
+    drop(landing, "b1.json", [page("0124", 0, ["/a", "/b"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt1"), csv_out=out).awaitTermination()
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt2"), csv_out=out).awaitTermination()
+    assert read_csv(spark, out, recursive=True).count() == 2
+    assert read_daily(spark, tables.raw).count() == 2
