@@ -11,14 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..constants import ITEM_COLUMNS
-from ..functions import pack_size, pack_size_text, collapse_whitespace, parse_stamp
-from ..operators.aggregates import average_unit_prices, discount_prices, regular_prices
+from ..functions import collapse_whitespace, pack_size, pack_size_text, parse_stamp
+from ..operators.aggregates import (average_unit_prices, crawl_coverage, discount_prices,
+                                    regular_prices)
 from ..operators.items import flatten_json, keep_first, project_items, with_stamp
 from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
 from ..operators.stores import with_city
-from ..operators.aggregates import crawl_coverage
 from ..session import path_exists, scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
@@ -234,4 +233,3 @@ QUERIES: dict[str, QueryFn] = {
     "csv_round_trip": q_csv_round_trip,
 }
 
-ITEM_COLUMN_LIST = list(ITEM_COLUMNS)

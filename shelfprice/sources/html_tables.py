@@ -125,11 +125,11 @@ def _expand(rows):
     """Rows of (text, rowspan, colspan) -> rows of texts with spans copied."""
     out, carry = [], []  # carry: (col, text, rows_left)
     for row in rows:
-        texts, nxt, col = [], [], 0
+        texts, nxt = [], []
         pending = sorted(carry)
         for _, text, rs, cs in row:
             while pending and pending[0][0] <= len(texts):
-                c, t, left = pending.pop(0)
+                _, t, left = pending.pop(0)
                 texts.append(t)
                 if left > 1:
                     nxt.append((len(texts) - 1, t, left - 1))
@@ -137,7 +137,7 @@ def _expand(rows):
                 texts.append(text)
                 if rs > 1:
                     nxt.append((len(texts) - 1, text, rs - 1))
-        for c, t, left in pending:
+        for _, t, left in pending:
             texts.append(t)
             if left > 1:
                 nxt.append((len(texts) - 1, t, left - 1))
@@ -145,7 +145,7 @@ def _expand(rows):
         carry = nxt
     while carry:  # rows that exist only because of an open rowspan
         texts, nxt = [], []
-        for c, t, left in sorted(carry):
+        for _, t, left in sorted(carry):
             texts.append(t)
             if left > 1:
                 nxt.append((len(texts) - 1, t, left - 1))
