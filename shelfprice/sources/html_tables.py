@@ -8,7 +8,8 @@ nothing passes through the driver.  A cheap JVM-side test drops pages that
 cannot hold a table before any row reaches Python.
 
 Table rules (those of the usual read-the-first-HTML-table call):
-  * first table in document order; a table nested in a cell only adds text;
+  * first table in document order that holds any text (an empty table is
+    passed over); a table nested in a cell only adds text;
   * header = the ``<thead>`` rows, otherwise the leading rows made only of
     ``<th>``; ``<tfoot>`` rows follow the body;
   * ``colspan``/``rowspan`` copy the text into every covered slot;
@@ -44,6 +45,7 @@ class _FirstTable(HTMLParser):
         self.row = None
         self.cell = None        # [is_th, [text parts], rowspan, colspan]
         self.hidden = 0         # open elements inside a display:none element
+        self.has_text = False   # any visible text inside the current table
 
     @staticmethod
     def _span(attrs, name):
@@ -77,6 +79,8 @@ class _FirstTable(HTMLParser):
                 self.hidden = 1
             return
         if tag == "table":
+            if self.depth == 0:
+                self.has_text = False
             self.depth += 1
             return
         if self.depth != 1:
@@ -104,7 +108,10 @@ class _FirstTable(HTMLParser):
             self.depth -= 1
             if self.depth == 0:
                 self._close_row()
-                self.done = True
+                if self.has_text:
+                    self.done = True
+                else:  # no text at all: not a table to read, keep looking
+                    self.rows, self.section = [], "tbody"
             return
         if self.depth != 1:
             return
@@ -117,7 +124,11 @@ class _FirstTable(HTMLParser):
             self.section = "tbody"
 
     def handle_data(self, data):
-        if not self.done and not self.hidden and self.cell is not None:
+        if self.done or self.hidden or not self.depth:
+            return
+        if data:
+            self.has_text = True
+        if self.cell is not None:
             self.cell[1].append(data)
 
 

@@ -60,3 +60,9 @@ def test_pages_without_table_yield_nothing(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     assert html_first_table(pages).count() == 0
     assert first_table_cells(None) == [] and first_table_cells("<p>no</p>") == []
+
+
+def test_table_without_text_is_passed_over():
+    got = first_table_cells('<table><tr><td></td></tr></table><table style="display:none"><tr><td>h</td></tr>'
+                            '</table><table><tr><td>x</td></tr></table>')
+    assert got == [(0, 0, None, "x")]
