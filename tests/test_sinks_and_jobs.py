@@ -93,3 +93,15 @@ def test_aggregate_from_day_sums_equals_all_rows_at_once(spark, scratch):
     one_day = average_unit_prices(price_rows(read_daily(spark, tables.raw, ["2024-01-10"]).drop("DT")))
     jobs.aggregate(spark, tables, "2024-01-12", dates=["2024-01-10"])
     assert rows(read_daily(spark, tables.unit_prices, ["2024-01-12"]).drop("DT", "city")) == rows(one_day)
+
+
+def test_aggregate_refresh_picks_up_a_reingested_day(spark, scratch):
+    tables = jobs.Tables(scratch("tables"))
+    items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
+    write_daily(items.filter(F.col("storeId") == "0124"), tables.raw, "2024-01-10")
+    write_daily(items.filter(F.col("storeId") == "0091"), tables.raw, "2024-01-11")
+    jobs.aggregate(spark, tables, "2024-01-11")
+    write_daily(items.filter(F.col("storeId") == "0210"), tables.raw, "2024-01-10")  # day 10 again
+    jobs.aggregate(spark, tables, "2024-01-11", refresh=["2024-01-10"])
+    stores = {r.storeId for r in read_daily(spark, tables.unit_prices).collect()}
+    assert stores == {"0210", "0091"}
