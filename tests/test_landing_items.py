@@ -76,8 +76,10 @@ def test_bad_page_policy(spark, tmp_path):
     bad = pages.filter(F.col("_corrupt_record").isNotNull()).select("storeId", "source_file").collect()
     assert len(bad) == 1 and bad[0].storeId is None and bad[0].source_file == "part-0.json"
     import pytest
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
         read_landed_pages(spark, path, on_bad_page="fail").count()
+    clean = land(str(tmp_path / "clean"), LINES[:-1])
+    assert read_landed_pages(spark, clean, on_bad_page="fail").count() == 4
 
 
 def test_crawl_coverage(spark, tmp_path):
