@@ -100,3 +100,13 @@ def test_page_split_does_not_change_items(spark, tmp_path):
     b = jobs.crawl_items(read_landed_pages(spark, land(str(tmp_path / "b"), many))).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert {r.title for r in a} == {f"t{i}" for i in range(7)}
+
+
+def test_crawl_coverage_first_nonzero_total(spark, tmp_path):
+    lines = [page("0124", 0, [sku("/a")], total=0),            # source had not counted yet
+             page("0124", 24, [sku("/b")], total=9),
+             page("0124", 24, [sku("/b")], total=7),            # same page landed twice, disagreeing
+             page("0124", 48, [sku("/c")], total=3)]
+    pages = read_landed_pages(spark, land(str(tmp_path / "l"), lines))
+    got = crawl_coverage(pages).collect()[0]
+    assert (got.total, got.pages, got.items_seen, got.distinct_items, got.complete) == (7, 4, 4, 3, False)
