@@ -210,3 +210,16 @@ def html_first_table(pages: DataFrame, id_col: str = "page_id", html_col: str =
     candidates = pages.select(id_col, html_col).filter(F.lower(F.col(html_col)).contains("<table"))
     cells = candidates.lateralJoin(FirstHtmlTable(F.col(html_col).outer()))
     return cells.select(id_col, "row_no", "col_no", "header", "cell")
+
+
+def cells_to_wide(cells: DataFrame, headers: list[str], id_col: str = "page_id") -> DataFrame:
+    """Long-form cells -> one row per (page, table row), one column per header.
+
+    ``headers`` names the columns to build (the table's header texts, in
+    order); giving them keeps the plan exact and free of a driver-side pass to
+    discover columns.  A pivot is a grouped aggregate on (page, row), so each
+    group holds one table row's cells.  Cells under other headers are left out.
+    """
+    return (cells.groupBy(id_col, "row_no")
+            .pivot("header", list(headers))
+            .agg(F.first("cell")))

@@ -66,3 +66,14 @@ def test_table_without_text_is_passed_over():
     got = first_table_cells('<table><tr><td></td></tr></table><table style="display:none"><tr><td>h</td></tr>'
                             '</table><table><tr><td>x</td></tr></table>')
     assert got == [(0, 0, None, "x")]
+
+
+def test_cells_to_wide(spark):
+    from shelfprice.sources.html_tables import cells_to_wide
+
+    page = ("<table><thead><tr><th>Регион</th><th>Зарплата</th></tr></thead>"
+            "<tr><td>Москва</td><td>120 000</td></tr><tr><td>Казань</td><td></td></tr></table>")
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    wide = cells_to_wide(html_first_table(df), ["Регион", "Зарплата"])
+    assert wide.columns == ["page_id", "row_no", "Регион", "Зарплата"]
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, 0, "Москва", "120 000"), (1, 1, "Казань", None)]
