@@ -15,7 +15,8 @@ Table rules (those of the usual read-the-first-HTML-table call):
   * ``colspan``/``rowspan`` copy the text into every covered slot;
   * elements styled ``display:none`` are left out;
   * cell text is stripped with whitespace runs collapsed; '' becomes null;
-    short rows are padded with null cells to the table width;
+    short rows are padded with null cells to the table width; a row with no
+    cells at all is dropped;
   * ``header`` is the header rows' texts for that column joined by " / "
     (null when the table has no header text there).
 Cells stay text; callers cast.  A page without a table yields no rows.
@@ -181,7 +182,7 @@ def first_table_cells(html: str | None):
         while body and body[0] and all(c[0] for c in body[0]):
             head.append(body.pop(0))
     head_t = _expand(head)
-    body_t = _expand(body) + _expand(foot)
+    body_t = [r for r in _expand(body) + _expand(foot) if r]  # a row without cells is blank
     width = max([len(r) for r in head_t + body_t] or [0])
     headers = []
     for c in range(width):

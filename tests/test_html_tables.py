@@ -77,3 +77,10 @@ def test_cells_to_wide(spark):
     wide = cells_to_wide(html_first_table(df), ["Регион", "Зарплата"])
     assert wide.columns == ["page_id", "row_no", "Регион", "Зарплата"]
     assert sorted(tuple(r) for r in wide.collect()) == [(1, 0, "Москва", "120 000"), (1, 1, "Казань", None)]
+
+
+def test_row_without_cells_is_dropped():
+    got = first_table_cells("<table><tr><td>a</td><td>b</td></tr><tr></tr><tr><td></td><td> </td></tr>"
+                            "<tr><td>c</td></tr></table>")
+    assert got == [(0, 0, None, "a"), (0, 1, None, "b"), (1, 0, None, None), (1, 1, None, None),
+                   (2, 0, None, "c"), (2, 1, None, None)]
