@@ -110,3 +110,13 @@ def test_crawl_coverage_first_nonzero_total(spark, tmp_path):
     pages = read_landed_pages(spark, land(str(tmp_path / "l"), lines))
     got = crawl_coverage(pages).collect()[0]
     assert (got.total, got.pages, got.items_seen, got.distinct_items, got.complete) == (7, 4, 4, 3, False)
+
+
+def test_prices_as_numbers_or_quoted_text(spark, tmp_path):
+    lines = [page("0124", 0, [sku("/a", regularPrice=100, discountPrice=89.9),
+                              sku("/b", regularPrice="100.50", discountPrice="n/a"),
+                              sku("/c", regularPrice=1.2345678e7, discountPrice=None)])]
+    items = jobs.crawl_items(read_landed_pages(spark, land(str(tmp_path / "l"), lines)))
+    assert dict(items.dtypes)["regularPrice"] == "double"
+    got = {r.webUrl: (r.regularPrice, r.discountPrice) for r in items.collect()}
+    assert got == {"/a": (100.0, 89.9), "/b": (100.5, None), "/c": (1.2345678e7, None)}
