@@ -8,7 +8,6 @@ setting is absent, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,13 +64,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "shelfprice", uuid.uuid4().hex, *parts])
 
 
-def as_uri(path: str) -> str:
-    """Plain local paths get a file: scheme; URIs pass through."""
-    if "://" in path or path.startswith("file:"):
-        return path
-    return "file:" + os.path.abspath(path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the cluster's file system (False if unknown)."""
     try:
