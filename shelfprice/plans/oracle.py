@@ -75,6 +75,11 @@ from items where categoryName in ({CATS})""",
     "avg_regular_price": _AVERAGES + f"select storeId, categoryName, subcategoryName, avg_price_regular_new, {CITY} as city from a",
     "avg_unit_prices": _AVERAGES + f"""
 select storeId, categoryName, subcategoryName, avg_price_discount_new, avg_price_regular_new, {CITY} as city from a""",
+    "unit_price_sums": _AVERAGES + """
+select storeId, categoryName, subcategoryName,
+  cast(sum(md) as bigint) as sum_discount_milli, count(md) as n_discount,
+  cast(sum(mr) as bigint) as sum_regular_milli, count(mr) as n_regular
+from m group by storeId, categoryName, subcategoryName""",
     "keep_first_by_url": ITEMS + f"""
 select {ITEM_LIST} from (
   select *, row_number() over (partition by storeId, webUrl order by

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import collapse_whitespace, pack_size, pack_size_text, parse_stamp
 from ..operators.aggregates import (average_unit_prices, crawl_coverage, discount_prices,
-                                    regular_prices)
+                                    regular_prices, unit_price_sums)
 from ..operators.items import flatten_json, keep_first, project_items, with_stamp
 from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
@@ -87,6 +87,10 @@ def q_avg_unit_prices(spark, sf_dir):
     return _averages(spark, sf_dir).transform(with_city)
 
 
+def q_unit_price_sums(spark, sf_dir):
+    return unit_price_sums(price_rows(items_of(spark, sf_dir)))
+
+
 def q_keep_first_by_url(spark, sf_dir):
     return project_items(keep_first(items_of(spark, sf_dir), ("storeId", "webUrl"), GOODS_ORDER))
 
@@ -216,6 +220,7 @@ QUERIES: dict[str, QueryFn] = {
     "avg_discount_price": q_avg_discount_price,
     "avg_regular_price": q_avg_regular_price,
     "avg_unit_prices": q_avg_unit_prices,
+    "unit_price_sums": q_unit_price_sums,
     "keep_first_by_url": q_keep_first_by_url,
     "collapse_whitespace": q_collapse_whitespace,
     "ingest_stamp": q_ingest_stamp,
