@@ -2,8 +2,8 @@
 
 The test tables hold no shop listings, so ``lineitem`` is reshaped into raw
 API items (``goods``) and into the cleaned 14-column item table
-(``goods_items``).  The Spark spelling below and ``GOODS_SQL`` /
-``GOODS_ITEMS_SQL`` (run by DuckDB as the oracle) must stay equal.
+(``goods_items``).  The Spark spelling below and ``goods_sql()`` /
+``goods_items_sql()`` (run by DuckDB as the oracle) must stay equal.
 
 ``land_goods`` turns ``goods`` into landed page envelopes (JSON Lines) so the
 ingest path can be run end to end on data that grows with the driver tables.
