@@ -1,0 +1 @@
+"""Outputs: CSV export (K1), daily Parquet partitions (K2), JDBC tables (K3)."""

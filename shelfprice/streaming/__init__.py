@@ -1,0 +1 @@
+"""Structured Streaming: incremental ingest of pages as they land."""
