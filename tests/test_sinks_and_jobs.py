@@ -105,3 +105,14 @@ def test_aggregate_refresh_picks_up_a_reingested_day(spark, scratch):
     jobs.aggregate(spark, tables, "2024-01-11", refresh=["2024-01-10"])
     stores = {r.storeId for r in read_daily(spark, tables.unit_prices).collect()}
     assert stores == {"0210", "0091"}
+
+
+def test_read_daily_absent_day_gives_no_rows(spark, scratch):
+    from shelfprice.sources.daily import list_days
+
+    root = scratch("raw")
+    items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
+    write_daily(items.limit(3), root, "2024-01-11")
+    assert list_days(spark, root) == ["2024-01-11"] and list_days(spark, root + "/nothing") == []
+    assert read_daily(spark, root, ["2030-01-01"]).count() == 0
+    assert read_daily(spark, root, ["2030-01-01", "2024-01-11"]).count() == 3
