@@ -27,8 +27,11 @@ FETCHED_AT = "2024-01-12T03:00:00Z"
 FETCHED_STAMP = "2024-01-12T06:00:00+03:00"
 LANDED_DS = "2024-01-11"
 
-_STORES = ("0124", "0091", "0210", "0203", "0179", "0238", "0209")  # by l_suppkey % 8; 7 -> '9999'
-_CATEGORIES = {1: "Сыр", 2: "Курица", 3: "Овощи", 4: "Фрукты", 6: "Бакалея"}  # others: Вино
+# Fixture values (the shim of FIXTURES.md §8): store by l_suppkey % 8 (7 -> '9999', a store
+# with no city) and category by l_linenumber (5 and 7 -> 'Вино'; 'Бакалея' is a category the
+# price filter drops).
+_STORES = ("0124", "0091", "0210", "0203", "0179", "0238", "0209")
+_CATEGORIES = {1: "Сыр", 2: "Курица", 3: "Овощи", 4: "Фрукты", 6: "Бакалея"}
 
 
 def _s(c: Column) -> Column:
