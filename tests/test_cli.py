@@ -24,3 +24,17 @@ def test_daily_and_export_commands(spark, scratch):
     out = scratch("csv")
     assert main(["export", "--landing", landing, "--out", out]) == 0
     assert spark.read.option("header", "true").csv(out).count() == read_daily(spark, t.raw).count()
+
+
+def test_ingest_aggregate_stream_commands(spark, scratch):
+    landing = _land(spark, SF_SMALL)
+    base, sbase = scratch("tables"), scratch("stream-tables")
+    assert main(["ingest", "--landing", landing, "--base", base, "--ds", "2024-01-11"]) == 0
+    assert main(["aggregate", "--base", base, "--ds", "2024-01-11"]) == 0
+    t = jobs.Tables(base)
+    assert read_daily(spark, t.unit_prices).count() > 0 and read_daily(spark, t.audit).count() > 0
+    assert main(["stream", "--landing", landing, "--base", sbase, "--ds", "2024-01-11",
+                 "--checkpoint", scratch("ckpt")]) == 0
+    a = sorted(map(tuple, read_daily(spark, t.raw).collect()), key=str)
+    b = sorted(map(tuple, read_daily(spark, jobs.Tables(sbase).raw).collect()), key=str)
+    assert a == b
