@@ -224,3 +224,16 @@ def cells_to_wide(cells: DataFrame, headers: list[str], id_col: str = "page_id")
     return (cells.groupBy(id_col, "row_no")
             .pivot("header", list(headers))
             .agg(F.first("cell")))
+
+
+def pages_without_table(pages: DataFrame, cells: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """Pages that yielded no cells (no table with text): ``(page_id, url)`` where present.
+
+    An anti-join on the page id against the distinct ids of the cells (the
+    distinct is a partial aggregate, so a page with a huge table is reduced
+    map-side).  Pass the cells as read back from where they were written, so the
+    parse does not run a second time.
+    """
+    keep = [c for c in (id_col, "url") if c in pages.columns]
+    seen = cells.select(id_col).distinct()
+    return pages.select(*keep).join(seen, id_col, "left_anti")

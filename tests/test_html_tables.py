@@ -84,3 +84,20 @@ def test_row_without_cells_is_dropped():
                             "<tr><td>c</td></tr></table>")
     assert got == [(0, 0, None, "a"), (0, 1, None, "b"), (1, 0, None, None), (1, 1, None, None),
                    (2, 0, None, "c"), (2, 1, None, None)]
+
+
+def test_salary_job_reports_pages_without_table(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from shelfprice.plans import jobs
+    from shelfprice.sources.daily import read_daily
+
+    plain = spark.read.parquet(f"{SF_SMALL}/pages.parquet")          # real pages, none has a table
+    one = plain.limit(1).select(F.lit(-1).cast("long").alias("page_id"), "url",
+                                F.lit("<table><tr><td>x</td></tr></table>").alias("html"))
+    pages = plain.unionByName(one)
+    tables = jobs.Tables(scratch("tables"))
+    jobs.salary(pages, tables, "2024-01-11")
+    assert [r.page_id for r in read_daily(spark, tables.salary).collect()] == [-1]
+    missing = {r.page_id for r in read_daily(spark, tables.salary_missing).collect()}
+    assert missing == {r.page_id for r in plain.select("page_id").collect()}
