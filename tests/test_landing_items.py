@@ -120,3 +120,14 @@ def test_prices_as_numbers_or_quoted_text(spark, tmp_path):
     assert dict(items.dtypes)["regularPrice"] == "double"
     got = {r.webUrl: (r.regularPrice, r.discountPrice) for r in items.collect()}
     assert got == {"/a": (100.0, 89.9), "/b": (100.5, None), "/c": (1.2345678e7, None)}
+
+
+def test_ingest_reports_bad_lines_with_file(spark, tmp_path, scratch):
+    from shelfprice.sources.daily import read_daily
+
+    tables = jobs.Tables(scratch("tables"))
+    jobs.ingest(spark, land(str(tmp_path / "l"), LINES), tables, "2024-01-11")
+    bad = read_daily(spark, tables.bad_lines).collect()
+    assert [(b.source_file, b.storeId) for b in bad] == [("part-0.json", None)]
+    assert bad[0]._corrupt_record.startswith('{"storeId": "0091", "offset": 24')
+    assert read_daily(spark, tables.raw).count() == 6
