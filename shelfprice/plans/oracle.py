@@ -133,7 +133,8 @@ _KEPT_AVERAGES = _AVERAGES.replace(ITEMS, _KEPT).replace("from items where", "fr
 ORACLE_SQL.update({
     "landed_items": ITEMS + f"select {ITEM_LIST} from items",
     "crawl_coverage": ITEMS + """
-select storeId, cast(0 as bigint) as bad_lines, count(*) as items_seen,
+select storeId, cast(ceil(count(*) / 24.0) as bigint) + 1 as pages,
+  cast(0 as bigint) as bad_lines, count(*) as items_seen,
   count(distinct webUrl) as distinct_items, count(distinct webUrl) as total, true as complete
 from items group by storeId""",
     "ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",

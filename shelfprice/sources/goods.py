@@ -11,10 +11,11 @@ ingest path can be run end to end on data that grows with the driver tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import PAGE_SIZE, WHITESPACE_RUN_RE2
 from ..functions import collapse_whitespace
+from ..session import checkpoint_root
 from ..sources.landing import write_landed_pages
 
 # Keys that order goods rows completely within one (storeId, webUrl): two rows
@@ -95,14 +96,19 @@ def goods_items(lineitem: DataFrame) -> DataFrame:
 
 
 def goods_pages(lineitem: DataFrame, fetched_at: str = FETCHED_AT) -> DataFrame:
-    """Page envelopes of ``goods``, pages of at most ``PAGE_SIZE`` items.
-
-    Rows are sorted (range-partitioned, so a hot store spreads over many
-    tasks) by store and the full goods order; a row's id then rises with that
-    order, and a page is a run of ``PAGE_SIZE`` ids inside one task, so a page
-    is bounded by construction and (offset, position) follows the goods order.
-    Every store ends with one empty page, as a crawl does.  The per-store
-    table (one row per store) is the only thing joined back.
+    """Page envelopes of ``goods``: pages of ``PAGE_SIZE`` items at offsets 0, 24, 48 ...
+
+    An item's place in its store is its rank in the goods order, found without
+    a per-store window (a store may hold a third of all rows):
+      * a global sort (range-partitioned, so a hot store spreads over tasks),
+        after which a row's position inside its task is known;
+      * the row count of each task, prefix-summed over tasks: a table of one
+        row per task, broadcast (its size is the task count);
+      * the first global position of each store: a table of one row per store.
+    The placed rows are checkpointed, so the counts and the join read one and
+    the same cut into tasks.  Page = rank div 24, position = rank mod 24, so a page is bounded by
+    construction and (offset, position) follows the goods order.  Every store
+    ends with one empty page, as a crawl does.
     """
     g = goods(lineitem)
     sku = F.struct(
@@ -114,17 +120,30 @@ def goods_pages(lineitem: DataFrame, fetched_at: str = FETCHED_AT) -> DataFrame:
             F.struct(F.col("subcategoryName").alias("name")).alias("subcategory"),
         ).alias("categories"),
     ).alias("sku")
-    ranked = (g.orderBy("storeId", *GOODS_ORDER)
-               .select("storeId", "webUrl", sku, F.monotonically_increasing_id().alias("rid")))
-    pages = (ranked.groupBy("storeId", F.floor(F.col("rid") / PAGE_SIZE).alias("chunk"))
-             .agg(F.min("rid").alias("offset"),
-                  F.sort_array(F.collect_list(F.struct("rid", "sku"))).alias("entries"))
-             .select("storeId", "offset", F.transform("entries", lambda e: e["sku"]).alias("skus")))
+    task = F.spark_partition_id().alias("task")
+    in_task = (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("in_task")
+    # two consumers must see the same task cut: materialise it once (a reliable
+    # checkpoint in the cluster's checkpoint folder; also a lineage cut)
+    checkpoint_root(lineitem.sparkSession)
+    placed = g.orderBy("storeId", *GOODS_ORDER).select("storeId", "webUrl", sku, task, in_task).checkpoint()
+    per_task = placed.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = per_task.select("task", F.coalesce(before, F.lit(0)).alias("start"))
+    ranked = (placed.join(F.broadcast(starts), "task")
+              .select("storeId", "webUrl", "sku", (F.col("start") + F.col("in_task")).alias("at")))
     per_store = ranked.groupBy("storeId").agg(
-        F.count_distinct("webUrl").alias("total"), (F.max("rid") + 1).alias("end"))
-    last = per_store.select("storeId", F.col("end").alias("offset"),
-                            F.array().cast(pages.schema["skus"].dataType).alias("skus"))
-    return (pages.unionByName(last)
+        F.min("at").alias("first"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("webUrl").alias("total"))
+    rows = (ranked.join(per_store.select("storeId", "first"), "storeId")
+            .select("storeId", "sku", (F.col("at") - F.col("first")).alias("rank")))
+    pages = (rows.groupBy("storeId", F.floor(F.col("rank") / PAGE_SIZE).alias("page"))
+             .agg(F.sort_array(F.collect_list(F.struct("rank", "sku"))).alias("entries"))
+             .select("storeId", (F.col("page") * PAGE_SIZE).alias("offset"),
+                     F.transform("entries", lambda e: e["sku"]).alias("skus")))
+    closing = per_store.select(
+        "storeId", ((F.floor((F.col("n") - 1) / PAGE_SIZE) + 1) * PAGE_SIZE).alias("offset"),
+        F.array().cast(pages.schema["skus"].dataType).alias("skus"))
+    return (pages.unionByName(closing)
             .join(per_store.select("storeId", "total"), "storeId")
             .select("storeId", "offset", F.lit(fetched_at).alias("fetchedAt"), "total", "skus"))
 

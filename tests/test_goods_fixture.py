@@ -1,6 +1,6 @@
-"""The landed goods fixture: bounded pages, every item landed once, one closing empty
-page and one total per store.  That (offset, position) follows the goods order is what
-the ingest_items query's oracle match shows."""
+"""The landed goods fixture: pages of 24 items at offsets 0, 24, 48 ..., every item landed
+once, one closing empty page and one total per store.  That (offset, position) follows the
+goods order is what the ingest_items and crawl_coverage oracle matches show."""
 
 from pyspark.sql import functions as F
 
@@ -20,4 +20,7 @@ def test_pages_bounded_and_ordered(spark):
                                              F.count_distinct("total").alias("totals"))
     assert all(r.last_size == 0 and r.totals == 1 for r in per_store.collect())
     assert pages.groupBy("storeId", "offset").count().filter("count > 1").count() == 0
+    assert pages.filter(F.col("offset") % PAGE_SIZE != 0).count() == 0   # API-like offsets
+    full = pages.filter((F.size("skus") > 0) & (F.size("skus") < PAGE_SIZE)).groupBy("storeId").count()
+    assert full.filter("count > 1").count() == 0   # only a store's last item page may be short
     pages.unpersist()
