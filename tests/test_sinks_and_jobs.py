@@ -116,3 +116,20 @@ def test_read_daily_absent_day_gives_no_rows(spark, scratch):
     assert list_days(spark, root) == ["2024-01-11"] and list_days(spark, root + "/nothing") == []
     assert read_daily(spark, root, ["2030-01-01"]).count() == 0
     assert read_daily(spark, root, ["2030-01-01", "2024-01-11"]).count() == 3
+
+
+def test_day_sums_one_job_many_days_and_empty_day(spark, scratch):
+    from shelfprice.sources.daily import list_days
+
+    tables = jobs.Tables(scratch("tables"))
+    items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
+    write_daily(items.filter(F.col("storeId") == "0124"), tables.raw, "2024-01-09")
+    write_daily(items.filter(F.col("categoryName") == "Бакалея"), tables.raw, "2024-01-10")  # nothing priced
+    write_daily(items.filter(F.col("storeId") == "0091"), tables.raw, "2024-01-11")
+    jobs.day_sums(spark, tables, ["2024-01-09", "2024-01-10", "2024-01-11"])
+    assert list_days(spark, tables.partials) == ["2024-01-09", "2024-01-10", "2024-01-11"]
+    assert read_daily(spark, tables.partials, ["2024-01-10"]).count() == 0
+    per_day = {r.DT.isoformat() for r in read_daily(spark, tables.partials).select("DT").distinct().collect()}
+    assert per_day == {"2024-01-09", "2024-01-11"}
+    jobs.day_sums(spark, tables, ["2024-01-11"])   # replaces that day only
+    assert read_daily(spark, tables.partials, ["2024-01-09"]).count() > 0
