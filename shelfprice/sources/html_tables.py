@@ -25,11 +25,17 @@ Cells stay text; callers cast.  A page without a table yields no rows.
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import udtf
 
+# The parser runs in Python workers.  Pickling this module's code by value
+# ships it with the task, so workers need no copy of this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
          "param", "source", "track", "wbr"}
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
