@@ -49,7 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # a session without a local SparkContext: use the setting as is
         sc = None
     if sc is not None:
-        root = root or sc.getConf().get("spark.checkpoint.dir", None)
+        # the setting, or a folder set with setCheckpointDir(); a local one only when neither exists
+        root = root or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
         if not root:
             root = tempfile.mkdtemp(prefix="shelfprice-ckpt-")
         if sc.getCheckpointDir() is None:
