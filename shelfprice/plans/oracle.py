@@ -140,6 +140,7 @@ from items group by storeId""",
     "ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
     "stream_ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
     "html_first_table": reference_cells_sql(),
+    "pages_without_table": "select page_id, url from pages",
     "salary_tables": reference_cells_sql(f", {_DT}"),
     "daily_run": _KEPT_AVERAGES + f"""
 select storeId, categoryName, subcategoryName, avg_price_discount_new, avg_price_regular_new,

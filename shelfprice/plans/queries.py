@@ -22,7 +22,7 @@ from ..session import path_exists, scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
 from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
-from ..sources.html_tables import html_first_table
+from ..sources.html_tables import html_first_table, pages_without_table
 from ..sources.landing import read_landed_pages
 from ..sources.reference_pages import pages_with_table
 from ..sources.tables import read_table
@@ -166,6 +166,11 @@ def q_html_first_table(spark, sf_dir):
     return html_first_table(reference_pages(spark, sf_dir))
 
 
+def q_pages_without_table(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")      # real pages: none holds a table
+    return pages_without_table(pages, html_first_table(pages))
+
+
 def q_salary_tables(spark, sf_dir):
     tables = jobs.Tables(scratch_path(spark, "tables"))
     jobs.salary(reference_pages(spark, sf_dir), tables, LANDED_DS)
@@ -227,6 +232,7 @@ QUERIES: dict[str, QueryFn] = {
     "crawl_coverage": q_crawl_coverage,
     "ingest_items": q_ingest_items,
     "html_first_table": q_html_first_table,
+    "pages_without_table": q_pages_without_table,
     "salary_tables": q_salary_tables,
     "daily_run": q_daily_run,
     "stream_ingest_items": q_stream_ingest_items,
