@@ -2,7 +2,8 @@
 
 Every query reads whole driver tables (or data Spark derives from them); none
 filters to a subset or caps rows.  Column names equal those of the matching
-oracle SQL in ``plans.oracle``.
+oracle SQL in ``plans.oracle``.  Queries of sinks and jobs write to a fresh
+folder under ``spark.checkpoint.dir`` and return what they read back from it.
 """
 
 from __future__ import annotations
