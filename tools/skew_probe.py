@@ -111,8 +111,8 @@ def main(argv):
                      f"{max(d)} | {int(statistics.median(d))} |")
     lines += ["", "Rows returned: " + ", ".join(f"{k}: {v:,}" for k, v in groups.items()) + ".", "",
               "A and B cut the hot URL down to one row per map task before the shuffle (a partial window "
-              "group limit, a partial aggregate), so the busiest task after the shuffle reads about as much "
-              "as the median one; A is the faster of the two. C has to move every row of the hot URL to one "
+              "group limit, a partial aggregate), so the busiest task after the shuffle reads a small multiple "
+              "of the median, nowhere near the hot URL's rows; A is the faster of the two. C has to move every row of the hot URL to one "
               "task: that is the shape `tests/test_plan_lint.py` rejects."]
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "SKEW.md"), "w", encoding="utf-8") as f:
