@@ -38,16 +38,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.items import DEDUPE_KEYS
 from ..plans.jobs import Tables, crawl_items
-from ..schema import CORRUPT_COLUMN, PAGE
+from ..schema import CORRUPT_COLUMN, ITEM, PAGE
 from ..session import path_exists
 from ..sinks.files import daily_path, write_csv
 
 
 def _written_keys(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).select(*DEDUPE_KEYS)
-    except Exception:  # nothing written yet for this day
+    """Keys of the items already written for the day; None before the first write.
+
+    Only a missing folder means "nothing written": any other read error stops
+    the batch (and the stream retries it) rather than appending copies.
+    """
+    if not path_exists(spark, path):
         return None
+    return spark.read.schema(ITEM).parquet(path).select(*DEDUPE_KEYS)
 
 
 def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, checkpoint: str,
