@@ -66,10 +66,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists on the cluster's file system (False if unknown)."""
+    """Whether a file or folder exists on the cluster's file system.
+
+    False when there is no JVM gateway to ask (a remote session); a file-system
+    error is raised, never read as "absent".
+    """
     try:
         sc = spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
     except Exception:
         return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))
