@@ -133,3 +133,11 @@ def test_day_sums_one_job_many_days_and_empty_day(spark, scratch):
     assert per_day == {"2024-01-09", "2024-01-11"}
     jobs.day_sums(spark, tables, ["2024-01-11"])   # replaces that day only
     assert read_daily(spark, tables.partials, ["2024-01-09"]).count() > 0
+
+
+def test_csv_round_trip_carriage_returns(spark, scratch):
+    row = ("t", "0124", "c", "ti", None, "a\rb", "d\r\nx", 1.0, 2.0, "", "/u", "g", "Сыр", 'q"r')
+    out = scratch("csv")
+    write_csv(spark.createDataFrame([row], ITEM), out)
+    got = read_csv(spark, out).collect()[0]
+    assert (got.subTitle, got.description, got.subcategoryName) == ("a\rb", "d\r\nx", 'q"r')
