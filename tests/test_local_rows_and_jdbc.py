@@ -51,3 +51,23 @@ def test_write_jdbc_options():
     assert f.log["options"] == {"url": "jdbc:mysql://db:3306/prices", "dbtable": "avg_regular_price",
                                 "driver": "com.mysql.cj.jdbc.Driver", "user": "u", "password": "",
                                 "numPartitions": "8", "batchsize": "5000", "truncate": "true"}
+
+
+def test_publish_sends_every_day_of_three_tables(spark, scratch, monkeypatch):
+    from shelfprice.plans import jobs
+    from shelfprice.sinks.files import write_daily
+
+    tables = jobs.Tables(scratch("tables"))
+    for root in (tables.regular, tables.discount, tables.salary):
+        write_daily(spark.createDataFrame([(1,)], "x int"), root, "2024-01-10")
+        write_daily(spark.createDataFrame([(2,)], "x int"), root, "2024-01-11")
+    sent = {}
+
+    def fake_write(df, url, table, **kw):
+        sent[table] = (url, sorted((r.x, str(r.DT)) for r in df.collect()), kw["truncate"])
+
+    monkeypatch.setattr(jobs, "write_jdbc", fake_write)
+    jobs.publish(spark, tables, jobs.JdbcTarget(url="jdbc:test://db/prices", truncate=True))
+    days = [(1, "2024-01-10"), (2, "2024-01-11")]
+    assert sent == {name: ("jdbc:test://db/prices", days, True)
+                    for name in ("avg_regular_price", "avg_discount_price", "avg_salary")}
