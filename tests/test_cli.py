@@ -38,3 +38,15 @@ def test_ingest_aggregate_stream_commands(spark, scratch):
     a = sorted(map(tuple, read_daily(spark, t.raw).collect()), key=str)
     b = sorted(map(tuple, read_daily(spark, jobs.Tables(sbase).raw).collect()), key=str)
     assert a == b
+
+
+def test_jdbc_target_reads_password_from_environment(monkeypatch):
+    from shelfprice.__main__ import _target
+
+    monkeypatch.setenv("PRICES_DB_PASSWORD", "s3cret")
+    a = parser().parse_args(["publish", "--base", "/b", "--jdbc-url", "jdbc:x://h/db", "--jdbc-user", "u",
+                             "--jdbc-password-env", "PRICES_DB_PASSWORD", "--jdbc-partitions", "4"])
+    t = _target(a)
+    assert (t.url, t.user, t.password, t.num_partitions, t.truncate) == ("jdbc:x://h/db", "u", "s3cret", 4, False)
+    assert _target(parser().parse_args(["daily", "--landing", "l", "--pages", "p", "--base", "b",
+                                        "--ds", "2024-01-11"])) is None
