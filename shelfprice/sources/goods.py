@@ -106,9 +106,9 @@ def goods_pages(lineitem: DataFrame, fetched_at: str = FETCHED_AT) -> DataFrame:
         row per task, broadcast (its size is the task count);
       * the first global position of each store: a table of one row per store.
     The placed rows are checkpointed, so the counts and the join read one and
-    the same cut into tasks.  Page = rank div 24, position = rank mod 24, so a page is bounded by
-    construction and (offset, position) follows the goods order.  Every store
-    ends with one empty page, as a crawl does.
+    the same cut into tasks.  Page = rank div 24, position = rank mod 24, so a
+    page is bounded by construction and (offset, position) follows the goods
+    order.  Every store ends with one empty page, as a crawl does.
     """
     g = goods(lineitem)
     sku = F.struct(
