@@ -9,6 +9,7 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from shelfprice.plans.queries import QUERIES
 from shelfprice.operators.aggregates import crawl_coverage, unit_price_sums
 from shelfprice.operators.prices import price_rows
 from shelfprice.plans import jobs
@@ -38,7 +39,7 @@ def violations(text):
     return found
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_query_plan(spark, name):
     assert violations(plan(entry.queries()[name](spark, SF_SMALL))) == []
 
