@@ -1,12 +1,17 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
-from . import decontaminate, jaccard_join, mixing, quality, secrets, url_filter
+from . import (decontaminate, fingerprints, html_extract, jaccard_join, lm_score, mixing, quality, secrets,
+               suffix_dedup, url_filter)
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_url_filter": url_filter.op4_url_filter,
+    "op5_html_extract": html_extract.op5_html_extract,
+    "op6_fingerprints": fingerprints.op6_fingerprints,
+    "op7_lm_score": lm_score.op7_lm_score,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
 }
