@@ -15,7 +15,7 @@ from ..session import scratch_path
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-CHUNK_BYTES = 1 << 20          # texts are hashed together up to this size; bounds a task's memory
+CHUNK_BYTES = 1 << 17          # texts are hashed together up to this size: arrays stay in cache
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -70,7 +70,7 @@ class Hasher:
 
     def __init__(self, fold: bool):
         self.values = byte_values(fold)
-        self.pow, self.inv = powers(1 << 16)
+        self.pow, self.inv = powers(1 << 18)
 
     def prefix(self, a: np.ndarray) -> np.ndarray:
         if len(a) >= len(self.pow):

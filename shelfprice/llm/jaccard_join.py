@@ -65,18 +65,21 @@ class Bands:
         return (100 - self.percent) * 2 * self.high[band] // (100 + self.percent) + 1
 
 
-def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
-    if len(words) >= k:
-        return np.unique(shingle_hashes(words, k))
-    if len(words):
-        return shingle_hashes(words, len(words)) ^ U(len(words))
-    return words[:0]
-
-
 def sketch(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s >> U(20)).astype(np.int64) % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
+def sums_by(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums modulo 2**64 of values by place; halves are added as floats, which are exact below 2**21 terms."""
+    if len(at) >= 1 << 21:
+        out = np.zeros(n, np.uint64)
+        np.add.at(out, at, values)
+        return out
+    low = np.bincount(at, (values & U(0xFFFFFFFF)).astype(np.float64), n).astype(np.uint64)
+    high = np.bincount(at, (values >> U(32)).astype(np.float64), n).astype(np.uint64)
+    return low + (high << U(32))
+
+
 def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None = None) -> np.ndarray:
     """Signatures of a set in its own band and the next: band, segment and the subset's hash."""
     out, b0 = [], bands.of(len(s))
@@ -86,8 +89,7 @@ def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None =
         m = bands.segments(band)
         segment = ((mix64(s + U(band + 1)) >> U(11)) % U(m)).astype(np.int64)
         values = mix64(s ^ U(0xA5A5A5A5))
-        subset = np.zeros(m, np.uint64)
-        np.add.at(subset, segment, values)
+        subset = sums_by(segment, values, m)
         head = (U(band) << U(SEGMENT_BITS + HASH_BITS)) | ((np.arange(m, dtype=np.uint64) & U((1 << SEGMENT_BITS) - 1)) << U(HASH_BITS))
         cut = U(64 - HASH_BITS)
         skipped, deleted = allocation.get(band, ((), ()))
@@ -100,7 +102,13 @@ def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None =
 
 def text_sets(held: list[bytes], hasher: Hasher, k: int) -> list[np.ndarray]:
     w = Words(held, hasher)
-    return [shingle_set(w.hash[w.bounds[i]:w.bounds[i + 1]], k) for i in range(len(held))]
+    every, out = shingle_hashes(w.hash, k), []
+    for a, b in zip(w.bounds[:-1], w.bounds[1:]):
+        if b - a >= k:
+            out.append(np.unique(every[a:b - k + 1]))
+        else:                                  # fewer words than a shingle: all of them are one
+            out.append(shingle_hashes(w.hash[a:b], b - a) ^ U(b - a) if b > a else every[:0])
+    return out
 
 
 def set_key(s: np.ndarray) -> tuple[int, int]:
@@ -141,7 +149,7 @@ def signature_rows(texts: DataFrame, k: int, bands: Bands, allocation: dict, onl
                 sigs = [signatures(s, bands, allocation, only) for s in text_sets(held, hasher, k)]
                 ids = b["class"].to_numpy()[first:first + len(held)]
                 yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                    "class": np.repeat(ids, [len(x) for x in sigs])}).drop_duplicates()
+                                    "class": np.repeat(ids, [len(x) for x in sigs])})
 
     return texts.mapInPandas(run, "sig long, class long")
 
@@ -221,29 +229,38 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     tiles = m.select("sig", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
                      "mine", "class", "component", "n", "sketch")
 
-    def compare(g: pd.DataFrame):
-        left, right = g[g["mine"] == g["x"].iloc[0]], g[g["mine"] == g["y"].iloc[0]]
-        ls, rs, rn = sketch_array(left["sketch"]), sketch_array(right["sketch"]), right["n"].to_numpy()
-        rc, rk = right["component"].to_numpy(), right["class"].to_numpy()
-        for i, (n, c, k) in enumerate(zip(left["n"], left["component"], left["class"])):
-            ok = (rc != c) & (np.minimum(rn, n) * 100 >= percent * np.maximum(rn, n))
-            at = np.flatnonzero(ok)
-            at = at[may_link(rs[at], rn[at], ls[i], n, percent)]
-            yield pd.DataFrame({"a": np.minimum(rk[at], k), "b": np.maximum(rk[at], k)})
+    def compare(b: pd.DataFrame) -> pd.DataFrame:
+        """Pairs within whole tiles, which lie one after another: rows d apart, for every d, all at once."""
+        tile = np.cumsum(np.concatenate([[0], (b[["sig", "x", "y"]].to_numpy()[1:] != b[["sig", "x", "y"]].to_numpy()[:-1]).any(1)]))
+        mine, key, part, n = (b[c].to_numpy() for c in ("mine", "class", "component", "n"))
+        cross, sketches, out = (b["x"] != b["y"]).to_numpy(), sketch_array(b["sketch"]), []
+        i = np.arange(len(b))
+        for d in range(1, len(b)):
+            i = i[i + d < len(b)]
+            i = i[tile[i] == tile[i + d]]
+            if not len(i):
+                break
+            j = i + d
+            ok = (part[i] != part[j]) & (~cross[i] | (mine[i] != mine[j]))
+            ok &= np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
+            p, q = i[ok], j[ok]
+            ok = may_link(sketches[p], n[p], sketches[q], n[q], percent)
+            out.append((np.minimum(key[p[ok]], key[q[ok]]), np.maximum(key[p[ok]], key[q[ok]])))
+        if not out:
+            return pd.DataFrame({"a": key[:0], "b": key[:0]})
+        return pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([x for _, x in out])}).drop_duplicates()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None                                    # the tile that the last batch ended in
         for b in batches:
             b = b if held is None else pd.concat([held, b], ignore_index=True)
-            tile = b[["sig", "x", "y"]].to_numpy()
-            edges = [0, *(np.flatnonzero((tile[1:] != tile[:-1]).any(1)) + 1)]
-            out = [p for s, e in zip(edges, edges[1:]) for p in compare(b.iloc[s:e])]
-            held = b.iloc[edges[-1]:]
-            if out:
-                yield pd.concat(out).drop_duplicates()
-        if held is not None:
-            for p in compare(held):
-                yield p
+            last = (b[["sig", "x", "y"]] != b[["sig", "x", "y"]].iloc[-1]).any(axis=1).to_numpy()
+            edge = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+            if edge:
+                yield compare(b.iloc[:edge])
+            held = b.iloc[edge:]
+        if held is not None and len(held):
+            yield compare(held)
 
     return (tiles.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
             .mapInPandas(run, "a long, b long").distinct())

@@ -107,43 +107,58 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
-def repeat_extents(contexts: list[bytes], lefts: list[int], length: int) -> list[set[tuple[int, int]]]:
-    """For each of an anchor's distinct contexts the (left, right) extents that repeat in another."""
-    out: list[set] = [set() for _ in contexts]
+def repeat_extents(contexts: list[bytes], lefts: list[int], length: int) -> np.ndarray:
+    """For each of an anchor's distinct contexts how far to the left and right it repeats in another.
+
+    All repeats hold the anchor, so together they cover one stretch; (0, 0) without any.
+    """
+    n = len(contexts)
     data = [np.frombuffer(c, np.uint8) for c in contexts]
-    order = sorted(range(len(contexts)), key=lambda i: contexts[i][lefts[i]:])
+    order = sorted(range(n), key=lambda i: contexts[i][lefts[i]:])
     right = [data[i][lefts[i]:] for i in order]
-    back = [contexts[i][:lefts[i]][::-1] for i in range(len(contexts))]
-    left = [np.frombuffer(b, np.uint8) for b in back]
-    rank = np.empty(len(contexts), np.int64)
-    rank[sorted(range(len(contexts)), key=back.__getitem__)] = np.arange(len(contexts))
     lcp = [agree(x, y) for x, y in zip(right, right[1:])]
+    back = [contexts[i][:lefts[i]][::-1] for i in range(n)]
+    by_left = sorted(range(n), key=back.__getitem__)
+    left = [np.frombuffer(back[i], np.uint8) for i in by_left]
+    shared = np.array([agree(x, y) for x, y in zip(left, left[1:])])
+    rank = np.empty(n, np.int64)
+    rank[by_left] = np.arange(n)
+    rank = rank[order]
+    reach = np.zeros((n, 2), np.int64)                 # by rank from the left
     for depth, first, last in intervals(lcp):
-        members = sorted(order[first:last + 1], key=rank.__getitem__)
-        for i, j in zip(members, members[1:]):
-            shared = agree(left[i], left[j])
-            if shared + depth >= length:
-                out[i].add((shared, depth))
-                out[j].add((shared, depth))
+        members = np.sort(rank[first:last + 1])
+        # what two members that follow each other from the left share there: the least in between
+        common = np.minimum.reduceat(shared[:members[-1]], members[:-1])
+        ok = common + depth >= length
+        if ok.any():
+            for side in (members[:-1][ok], members[1:][ok]):
+                reach[side, 0] = np.maximum(reach[side, 0], common[ok])
+                reach[side, 1] = np.maximum(reach[side, 1], depth)
+    out = np.empty_like(reach)
+    out[by_left] = reach
     return out
 
 
 def extents_by_sorting(contexts: DataFrame, length: int) -> DataFrame:
     """(a, x, lo, hi) around the anchor, of rows (a, x, left, context); a whole anchor is one unit."""
-    def solve(g: pd.DataFrame) -> list[tuple]:
-        found = repeat_extents(g["context"].tolist(), g["left"].tolist(), length)
-        return [(a, x, -lo, hi) for a, x, e in zip(g["a"], g["x"], found) for lo, hi in e]
+    def solve(b: pd.DataFrame) -> pd.DataFrame:
+        a, contexts, lefts = b["a"].to_numpy(), b["context"].tolist(), b["left"].tolist()
+        edges = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1), len(a)]
+        reach = np.concatenate([repeat_extents(contexts[s:e], lefts[s:e], length) for s, e in zip(edges, edges[1:])])
+        ok = reach[:, 1] > 0
+        return pd.DataFrame({"a": a[ok], "x": b["x"].to_numpy()[ok], "lo": -reach[ok, 0], "hi": reach[ok, 1]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None                                    # the anchor that the last batch ended in
         for b in batches:
             b = b if held is None else pd.concat([held, b], ignore_index=True)
-            a = b["a"].to_numpy()
-            edges = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1)]
-            yield pd.DataFrame([r for s, e in zip(edges, edges[1:]) for r in solve(b.iloc[s:e])], columns=["a", "x", "lo", "hi"])
-            held = b.iloc[edges[-1]:]
-        if held is not None:
-            yield pd.DataFrame(solve(held), columns=["a", "x", "lo", "hi"])
+            ended = np.flatnonzero(b["a"].to_numpy() != b["a"].iloc[-1])
+            edge = int(ended[-1]) + 1 if len(ended) else 0
+            if edge:
+                yield solve(b.iloc[:edge])
+            held = b.iloc[edge:]
+        if held is not None and len(held):
+            yield solve(held)
 
     return contexts.repartition("a").sortWithinPartitions("a").mapInPandas(run, "a long, x long, lo int, hi int")
 
@@ -162,7 +177,7 @@ def extents_by_windows(contexts: DataFrame, length: int) -> DataFrame:
 
     windows = contexts.mapInPandas(run, "a long, x long, lo int, w long")
     twice = windows.groupBy("a", "w").agg(F.count("*").alias("n")).filter("n > 1")
-    return windows.join(twice, ["a", "w"]).select("a", "x", "lo", (F.col("lo") + length).alias("hi"))
+    return windows.join(twice, ["a", "w"]).groupBy("a", "x").agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
 
 
 def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANCHOR, max_contexts=MAX_CONTEXTS) -> DataFrame:
@@ -182,12 +197,12 @@ def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANC
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for text, want in zip(b["text"], b["want"]):
+            for text, a, x, at, left, right in zip(*(b[c] for c in ("text", "a", "x", "at", "left", "right"))):
                 data = utf8(text)
-                yield pd.DataFrame([(w["a"], w["x"], w["left"], data[w["at"] - w["left"]:w["at"] + w["right"]]) for w in want],
-                                   columns=["a", "x", "left", "context"])
+                yield pd.DataFrame({"a": a, "x": x, "left": left,
+                                    "context": [data[p - lo:p + hi] for p, lo, hi in zip(at, left, right)]})
 
-    texts = rows.join(stored(spark, wanted, "wanted"), ["k1", "k2"]).select("text", "want")
+    texts = rows.join(stored(spark, wanted, "wanted"), ["k1", "k2"]).select("text", *[F.col("want")[c].alias(c) for c in ("a", "x", "at", "left", "right")])
     cuts = stored(spark, texts.mapInPandas(cut, "a long, x long, left int, context binary")
                   .groupBy("a", "x").agg(F.first("left").alias("left"), F.first("context").alias("context")), "cuts")
     crowded = stored(spark, cuts.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > max_contexts).select("a"), "crowded")
@@ -198,14 +213,12 @@ def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANC
     return spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
 
 
-def merged(spans) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [tuple(x) for x in out]
+def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans joined where they touch or overlap."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return start[first], np.append(reach[first[1:] - 1], reach[-1])
 
 
 def dedup(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
@@ -216,20 +229,25 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text"
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for text, found in zip(b["text"], b["spans"]):
-                data = utf8(text)
-                gone = merged(found) if found is not None else []
-                kept, at = [], 0
-                for start, end in gone:
-                    kept.append(data[at:start])
-                    at = end
-                kept.append(data[at:])
-                out.append((len(data), [{"start": s, "end": e} for s, e in gone], b"".join(kept)))
-            yield pd.DataFrame({"id": b["id"], "n_bytes": [o[0] for o in out], "removed": [o[1] for o in out], "kept": [o[2] for o in out]})
+            sizes, removed, kept = [], [], []
+            for text, start, end in zip(b["text"], b["start"], b["end"]):
+                data, at, left = utf8(text), 0, []
+                sizes.append(len(data))
+                if start is None:
+                    removed.append([])
+                    kept.append(data)
+                    continue
+                gone = list(zip(*(x.tolist() for x in merged(start, end))))
+                for s, e in gone:
+                    left.append(data[at:s])
+                    at = e
+                removed.append([{"start": s, "end": e} for s, e in gone])
+                kept.append(b"".join([*left, data[at:]]))
+            yield pd.DataFrame({"id": b["id"], "n_bytes": sizes, "removed": removed, "kept": kept})
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.join(spans, ["k1", "k2"], "left").select("id", "text", "spans").mapInPandas(
+    return rows.join(spans, ["k1", "k2"], "left").select(
+        "id", "text", F.col("spans")["start"].alias("start"), F.col("spans")["end"].alias("end")).mapInPandas(
         cut, f"id {kind}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
 
 
