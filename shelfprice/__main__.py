@@ -2,7 +2,7 @@
 
     python -m shelfprice ingest    --landing L --base B --ds 2024-01-11
     python -m shelfprice salary    --pages P   --base B --ds 2024-01-11 [--headers H1,H2]
-    python -m shelfprice aggregate --base B --ds 2024-01-11 [--dates D1,D2] [--refresh D1]
+    python -m shelfprice aggregate --base B --ds 2024-01-11 [--dates D1,D2]
     python -m shelfprice publish   --base B --jdbc-url URL [--jdbc-driver ...] [--jdbc-user ...]
     python -m shelfprice daily     --landing L --pages P --base B --ds 2024-01-11 [--jdbc-url URL]
     python -m shelfprice export    --landing L --out CSV_DIR
@@ -24,7 +24,7 @@ from .session import get_session
 
 
 def _list(text: str | None) -> list[str] | None:
-    return [t for t in text.split(",") if t] if text else None
+    return None if text is None else [t for t in text.split(",") if t]
 
 
 def _target(a) -> jobs.JdbcTarget | None:
@@ -49,9 +49,9 @@ def parser() -> argparse.ArgumentParser:
 
     add("ingest", "landing", "base", "ds", "on-bad-page")
     add("salary", "pages", "base", "ds", "headers")
-    add("aggregate", "base", "ds", "dates", "refresh")
+    add("aggregate", "base", "ds", "dates")
     pub = add("publish", "base")
-    daily = add("daily", "landing", "pages", "base", "ds", "dates")
+    daily = add("daily", "landing", "pages", "base", "ds", "dates", "on-bad-page", "headers")
     add("export", "landing", "out", "on-bad-page")
     add("stream", "landing", "base", "ds", "checkpoint", "csv-out")
     for s in (pub, daily):
@@ -76,12 +76,12 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "salary":
         jobs.salary(spark.read.parquet(a.pages), tables, a.ds, headers=_list(a.headers))
     elif a.cmd == "aggregate":
-        jobs.aggregate(spark, tables, a.ds, dates=_list(a.dates), refresh=_list(a.refresh))
+        jobs.aggregate(spark, tables, a.ds, dates=_list(a.dates))
     elif a.cmd == "publish":
         jobs.publish(spark, tables, _target(a))
     elif a.cmd == "daily":
         jobs.daily_run(spark, a.landing, spark.read.parquet(a.pages), tables, a.ds,
-                       target=_target(a), dates=_list(a.dates))
+                       target=_target(a), dates=_list(a.dates), on_bad_page=bad, headers=_list(a.headers))
     elif a.cmd == "export":
         jobs.export_csv(spark, a.landing, a.out, on_bad_page=bad)
     elif a.cmd == "stream":

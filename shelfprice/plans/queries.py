@@ -89,7 +89,8 @@ def q_avg_unit_prices(spark, sf_dir):
 
 
 def q_unit_price_sums(spark, sf_dir):
-    return unit_price_sums(price_rows(items_of(spark, sf_dir)))
+    sums = unit_price_sums(price_rows(items_of(spark, sf_dir)))
+    return sums.withColumns({c: F.col(c).cast("long") for c in ("sum_discount_milli", "sum_regular_milli")})
 
 
 def q_keep_first_by_url(spark, sf_dir):

@@ -52,6 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         # the setting, or a folder set with setCheckpointDir(); a local one only when neither exists
         root = root or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
         if not root:
+            # executors of a cluster cannot see the driver's own folders
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             root = tempfile.mkdtemp(prefix="shelfprice-ckpt-")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
@@ -68,13 +71,9 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the cluster's file system.
 
-    False when there is no JVM gateway to ask (a remote session); a file-system
-    error is raised, never read as "absent".
+    Whatever keeps it from being asked is raised, never read as "absent".
     """
-    try:
-        sc = spark.sparkContext
-        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    except Exception:
-        return False
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))

@@ -8,8 +8,8 @@ nothing passes through the driver.  A cheap JVM-side test drops pages that
 cannot hold a table before any row reaches Python.
 
 Table rules (those of the usual read-the-first-HTML-table call):
-  * first table in document order that holds any text (an empty table is
-    passed over); a table nested in a cell only adds text;
+  * first table in document order with text in a cell (an empty one is passed
+    over); end tags that HTML lets out are supplied; a table nested in a cell only adds text;
   * header = the ``<thead>`` rows, otherwise the leading rows made only of
     ``<th>``; ``<tfoot>`` rows follow the body;
   * ``colspan``/``rowspan`` copy the text into every covered slot;
@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import deque
 from html.parser import HTMLParser
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -42,134 +44,140 @@ _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _WS = re.compile(r"\s+")
 
 
+_SECTIONS = ("thead", "tbody", "tfoot")
+_MAX_ROWSPAN, _MAX_COLSPAN = 65534, 1000      # limits of the HTML table model
+# start tag -> open elements it ends when their own end tag was left out
+_ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "li": ("li",),
+         "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), **{s: _SECTIONS for s in _SECTIONS}}
+_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3",
+           "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
+# where the search for an element to end stops
+_FENCE = {"td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "li": ("ul", "ol", "table"),
+          "dt": ("dl", "table"), "dd": ("dl", "table"), "option": ("select", "table"), **{s: ("table",) for s in _SECTIONS}}
+
+
 class _FirstTable(HTMLParser):
+    """Follows the open elements on a stack; collects the first table that has text in a cell."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.depth = 0          # table nesting depth; 1 = inside the first table
+        self.stack = []         # open elements: (tag, hidden)
+        self.level = 0          # tables among them
         self.done = False
-        self.section = "tbody"
-        self.rows = []          # (section, [(is_th, text, rowspan, colspan)])
-        self.row = None
-        self.cell = None        # [is_th, [text parts], rowspan, colspan]
-        self.hidden = 0         # open elements inside a display:none element
-        self.has_text = False   # any visible text inside the current table
+        self._reset_table()
+
+    def _reset_table(self):
+        self.section, self.rows, self.row, self.cell = "tbody", [], None, None
 
     @staticmethod
-    def _span(attrs, name):
+    def _span(attrs, name, most):
         try:
-            return max(1, int(dict(attrs).get(name) or 1))
+            return min(max(1, int(dict(attrs).get(name) or 1)), most)
         except (TypeError, ValueError):
             return 1
 
-    def _close_cell(self):
-        if self.cell is not None and self.row is not None:
-            is_th, parts, rs, cs = self.cell
-            self.row.append((is_th, _WS.sub(" ", "".join(parts).strip()), rs, cs))
+    def _hidden(self):
+        return bool(self.stack) and self.stack[-1][1]
+
+    def _end_cell(self):
+        if self.cell is not None:
+            is_th, parts, rowspan, colspan = self.cell
+            self.row.append((is_th, _WS.sub(" ", "".join(parts).strip()), rowspan, colspan))
         self.cell = None
 
-    def _close_row(self):
-        self._close_cell()
+    def _end_row(self):
+        self._end_cell()
         if self.row is not None:
             self.rows.append((self.section, self.row))
         self.row = None
 
+    def _pop(self):
+        tag, _ = self.stack.pop()
+        if self.level == 1:
+            if tag in ("td", "th"):
+                self._end_cell()
+            elif tag == "tr":
+                self._end_row()
+            elif tag in _SECTIONS:
+                self._end_row()
+                self.section = "tbody"
+            elif tag == "table":
+                self._end_row()
+                self.done = any(c[1] for _, row in self.rows for c in row)
+                if not self.done:
+                    self._reset_table()
+        if tag == "table":
+            self.level -= 1
+
+    def _end_open(self, tags, fence):
+        """Ends the nearest open element of ``tags`` this side of ``fence``, and all within it."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in tags:
+                while len(self.stack) > i and not self.done:
+                    self._pop()
+                return
+            if self.stack[i][0] in fence:
+                return
+
     def handle_starttag(self, tag, attrs):
         if self.done:
             return
-        if self.hidden:
-            if tag not in _VOID:
-                self.hidden += 1
-            return
-        style = dict(attrs).get("style") or ""
-        if _HIDDEN.search(style):
-            if tag not in _VOID:
-                self.hidden = 1
+        if tag in _ENDS:
+            self._end_open(_ENDS[tag], _FENCE[tag])
+        elif tag in _ENDS_P:
+            self._end_open(("p",), ("td", "th", "table", "button"))
+        if tag in _VOID:
             return
+        hidden = self._hidden() or bool(_HIDDEN.search(dict(attrs).get("style") or ""))
+        self.stack.append((tag, hidden))
         if tag == "table":
-            if self.depth == 0:
-                self.has_text = False
-            self.depth += 1
-            return
-        if self.depth != 1:
-            return
-        if tag in ("thead", "tbody", "tfoot"):
-            self._close_row()
-            self.section = tag
-        elif tag == "tr":
-            self._close_row()
-            self.row = []
-        elif tag in ("td", "th"):
-            self._close_cell()
-            if self.row is None:
+            self.level += 1
+        elif self.level == 1 and not hidden:
+            if tag in _SECTIONS:
+                self._end_row()
+                self.section = tag
+            elif tag == "tr":
+                self._end_row()
                 self.row = []
-            self.cell = [tag == "th", [], self._span(attrs, "rowspan"), self._span(attrs, "colspan")]
+            elif tag in ("td", "th"):
+                self._end_cell()
+                self.row = [] if self.row is None else self.row
+                self.cell = [tag == "th", [], self._span(attrs, "rowspan", _MAX_ROWSPAN),
+                             self._span(attrs, "colspan", _MAX_COLSPAN)]
 
     def handle_endtag(self, tag):
-        if self.done:
-            return
-        if self.hidden:
-            if tag not in _VOID:
-                self.hidden -= 1
-            return
-        if tag == "table" and self.depth:
-            self.depth -= 1
-            if self.depth == 0:
-                self._close_row()
-                if self.has_text:
-                    self.done = True
-                else:  # no text at all: not a table to read, keep looking
-                    self.rows, self.section = [], "tbody"
-            return
-        if self.depth != 1:
-            return
-        if tag in ("td", "th"):
-            self._close_cell()
-        elif tag == "tr":
-            self._close_row()
-        elif tag in ("thead", "tbody", "tfoot"):
-            self._close_row()
-            self.section = "tbody"
+        if not self.done and tag not in _VOID:
+            self._end_open((tag,), () if tag == "table" else ("table",))
 
     def handle_data(self, data):
-        if self.done or self.hidden or not self.depth:
-            return
-        if data:
-            self.has_text = True
-        if self.cell is not None:
+        if not self.done and self.cell is not None and not self._hidden():
             self.cell[1].append(data)
 
+    def close(self):
+        super().close()
+        while self.stack and not self.done:      # whatever is open ends with the page
+            self._pop()
 
-def _expand(rows):
-    """Rows of (text, rowspan, colspan) -> rows of texts with spans copied."""
-    out, carry = [], []  # carry: (col, text, rows_left)
-    for row in rows:
-        texts, nxt = [], []
-        pending = sorted(carry)
-        for _, text, rs, cs in row:
-            while pending and pending[0][0] <= len(texts):
-                _, t, left = pending.pop(0)
-                texts.append(t)
-                if left > 1:
-                    nxt.append((len(texts) - 1, t, left - 1))
-            for _ in range(cs):
-                texts.append(text)
-                if rs > 1:
-                    nxt.append((len(texts) - 1, text, rs - 1))
-        for _, t, left in pending:
-            texts.append(t)
-            if left > 1:
-                nxt.append((len(texts) - 1, t, left - 1))
-        out.append(texts)
-        carry = nxt
-    while carry:  # rows that exist only because of an open rowspan
-        texts, nxt = [], []
-        for _, t, left in sorted(carry):
-            texts.append(t)
-            if left > 1:
-                nxt.append((len(texts) - 1, t, left - 1))
-        out.append(texts)
-        carry = nxt
-    return out
+
+def _grid(rows):
+    """Rows of (is_th, text, rowspan, colspan) -> rows of texts, one by one, as the table model lays
+    them out: each cell goes to the first free slot of its row and fills its rectangle."""
+    ahead = deque()                    # slots already taken in this and the following rows
+    rows = iter(rows)
+    while True:
+        row = next(rows, None)
+        if row is None and not ahead:
+            return
+        slots, col = (ahead.popleft() if ahead else {}), 0
+        for _, text, rowspan, colspan in row or ():
+            while col in slots:
+                col += 1
+            while len(ahead) < rowspan - 1:
+                ahead.append({})
+            for c in range(col, col + colspan):
+                for below in (slots, *islice(ahead, rowspan - 1)):
+                    below.setdefault(c, text)
+        yield [slots.get(c) for c in range(max(slots, default=-1) + 1)]
 
 
 def first_table_cells(html: str | None):
@@ -179,16 +187,16 @@ def first_table_cells(html: str | None):
     p = _FirstTable()
     p.feed(html)
     p.close()
-    if p.depth and not p.done:   # unclosed table at end of page
-        p._close_row()
+    if not p.done:
+        return []
     head = [r for s, r in p.rows if s == "thead"]
     body = [r for s, r in p.rows if s == "tbody"]
     foot = [r for s, r in p.rows if s == "tfoot"]
     if not head:
         while body and body[0] and all(c[0] for c in body[0]):
             head.append(body.pop(0))
-    head_t = _expand(head)
-    body_t = [r for r in _expand(body) + _expand(foot) if r]  # a row without cells is blank
+    head_t = list(_grid(head))
+    body_t = [r for r in (*_grid(body), *_grid(foot)) if r]  # a row without cells is blank
     width = max([len(r) for r in head_t + body_t] or [0])
     headers = []
     for c in range(width):
@@ -220,16 +228,23 @@ def html_first_table(pages: DataFrame, id_col: str = "page_id", html_col: str =
 
 
 def cells_to_wide(cells: DataFrame, headers: list[str], id_col: str = "page_id") -> DataFrame:
-    """Long-form cells -> one row per (page, table row), one column per header.
+    """Long-form cells -> one row per (page, table row), one column per table column.
 
-    ``headers`` names the columns to build (the table's header texts, in
-    order); giving them keeps the plan exact and free of a driver-side pass to
-    discover columns.  A pivot is a grouped aggregate on (page, row), so each
-    group holds one table row's cells.  Cells under other headers are left out.
+    ``headers`` names the columns in order; column i holds the cells at place i, so columns with
+    equal or no headers stay apart.  Equal names get a number (``name``, ``name_2``), an empty one is
+    called ``column_<place>``.  Every group holds one table row's cells.  Cells beyond the last named
+    column are kept in ``more``, joined by " | " in order of place (null where there are none).
     """
-    return (cells.groupBy(id_col, "row_no")
-            .pivot("header", list(headers))
-            .agg(F.first("cell")))
+    names: list[str] = []
+    for i, h in enumerate(headers):
+        name, n = h or f"column_{i}", 2
+        while name in names:
+            name, n = f"{h or 'column'}_{n}", n + 1
+        names.append(name)
+    place = [F.max(F.when(F.col("col_no") == i, F.col("cell"))).alias(n) for i, n in enumerate(names)]
+    more = F.sort_array(F.collect_list(F.when(F.col("col_no") >= len(names), F.struct("col_no", "cell"))))["cell"]
+    text = F.when(F.size(more) > 0, F.array_join(more, " | ", ""))
+    return cells.groupBy(id_col, "row_no").agg(*place, text.alias("more"))
 
 
 def pages_without_table(pages: DataFrame, cells: DataFrame, id_col: str = "page_id") -> DataFrame:

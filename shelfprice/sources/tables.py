@@ -1,43 +1,9 @@
-"""Reading the input tables.
-
-A Parquet file is split by row group, so a file written as one row group is
-read by one task however large it is.  ``balanced`` spreads such a scan over
-the cluster with one exchange when the scan yields fewer splits than the
-cluster has cores.  On a large table (many more splits than cores) it is a
-no-op and the plan is the plain scan.
-
-For a Parquet scan the exchange hashes each row's place in its file
-(``_metadata.file_path``, ``_metadata.row_index``): rows spread evenly whatever
-their values (copies of one row do not pile up), a retried task sends every
-row where it went before, and, unlike a round-robin repartition, no local sort
-of the whole split is needed to make that so.  The key is deterministic, so
-filters and column pruning still reach the scan.  Any other input is spread
-round-robin.
-"""
+"""Reading the input tables: the plain Parquet scan, split by file and row group at any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-
-def balanced(df: DataFrame, min_partitions: int | None = None, parquet_scan: bool = False) -> DataFrame:
-    """``df`` spread over at least ``min_partitions`` tasks (default: the cores).
-
-    ``parquet_scan``: ``df`` is a plain Parquet scan, so rows can be keyed by
-    their place in the file.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    if splits >= target:
-        return df
-    if parquet_scan:
-        return df.repartition(target, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return df.repartition(target)
+from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, balance: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return balanced(df, parquet_scan=True) if balance else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

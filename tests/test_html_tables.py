@@ -75,8 +75,30 @@ def test_cells_to_wide(spark):
             "<tr><td>Москва</td><td>120 000</td></tr><tr><td>Казань</td><td></td></tr></table>")
     df = spark.createDataFrame([(1, page)], "page_id long, html string")
     wide = cells_to_wide(html_first_table(df), ["Регион", "Зарплата"])
-    assert wide.columns == ["page_id", "row_no", "Регион", "Зарплата"]
-    assert sorted(tuple(r) for r in wide.collect()) == [(1, 0, "Москва", "120 000"), (1, 1, "Казань", None)]
+    assert wide.columns == ["page_id", "row_no", "Регион", "Зарплата", "more"]
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, 0, "Москва", "120 000", None), (1, 1, "Казань", None, None)]
+
+
+def test_cells_to_wide_keeps_equal_headers_and_further_columns(spark):
+    from shelfprice.sources.html_tables import cells_to_wide
+
+    page = "<table><tr><th>a<th>a<th><th>d</tr><tr><td>1<td>2<td>3<td>4</tr></table>"
+    cells = html_first_table(spark.createDataFrame([(1, page)], "page_id long, html string"))
+    assert [tuple(r) for r in cells_to_wide(cells, ["a", "a", ""]).collect()] == [(1, 0, "1", "2", "3", "4")]
+    assert cells_to_wide(cells, ["a", "a", ""]).columns == ["page_id", "row_no", "a", "a_2", "column_2", "more"]
+
+
+def test_end_tags_left_out_and_blank_tables():
+    assert first_table_cells("<table><tr><td style='display:none'>h<td>1<td>2</tr><tr><td>3<td>4</tr></table>") == [
+        (0, 0, None, "1"), (0, 1, None, "2"), (1, 0, None, "3"), (1, 1, None, "4")]
+    assert first_table_cells("<p style='display:none'>x<div>y</div><table><tr><td>1</table>") == [(0, 0, None, "1")]
+    assert first_table_cells("<table>\n <tr>\n <td> </td>\n</tr></table><table><tr><td>x</table>") == [(0, 0, None, "x")]
+
+
+def test_spans_fill_rectangles():
+    got = first_table_cells("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td rowspan=2>e</table>")
+    assert [(r, c, t) for r, c, _, t in got if t] == [
+        (0, 0, "a"), (0, 1, "a"), (0, 2, "b"), (1, 0, "a"), (1, 1, "a"), (1, 2, "c"), (2, 0, "d"), (2, 1, "e"), (3, 1, "e")]
 
 
 def test_row_without_cells_is_dropped():

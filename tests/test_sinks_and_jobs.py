@@ -95,16 +95,37 @@ def test_aggregate_from_day_sums_equals_all_rows_at_once(spark, scratch):
     assert rows(read_daily(spark, tables.unit_prices, ["2024-01-12"]).drop("DT", "city")) == rows(one_day)
 
 
-def test_aggregate_refresh_picks_up_a_reingested_day(spark, scratch):
+def test_aggregate_picks_up_a_reingested_day(spark, scratch):
     tables = jobs.Tables(scratch("tables"))
     items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
     write_daily(items.filter(F.col("storeId") == "0124"), tables.raw, "2024-01-10")
     write_daily(items.filter(F.col("storeId") == "0091"), tables.raw, "2024-01-11")
     jobs.aggregate(spark, tables, "2024-01-11")
     write_daily(items.filter(F.col("storeId") == "0210"), tables.raw, "2024-01-10")  # day 10 again
-    jobs.aggregate(spark, tables, "2024-01-11", refresh=["2024-01-10"])
+    jobs.aggregate(spark, tables, "2024-01-11")
     stores = {r.storeId for r in read_daily(spark, tables.unit_prices).collect()}
     assert stores == {"0210", "0091"}
+    write_daily(items.filter(F.col("categoryName") == "Бакалея"), tables.raw, "2024-01-11")  # nothing priced left
+    jobs.aggregate(spark, tables, "2024-01-11")
+    assert {r.storeId for r in read_daily(spark, tables.unit_prices).collect()} == {"0210"}
+
+
+def test_infinite_price_is_no_price(spark):
+    from shelfprice.operators.aggregates import average_unit_prices
+
+    df = spark.createDataFrame([("0124", "Сыр", "A", 1.0, float("inf"), 100.0), ("0124", "Сыр", "A", 1.0, 50.0, 100.0)],
+                               "storeId string, categoryName string, subcategoryName string, discountPrice double, "
+                               "regularPrice double, weight double")
+    assert [r.avg_price_regular_new for r in average_unit_prices(df).collect()] == [500.0]
+    assert read_no_days(spark) == 0
+
+
+def read_no_days(spark):
+    from shelfprice.session import scratch_path
+
+    root = scratch_path(spark, "days")
+    write_daily(spark.range(3).toDF("x"), root, "2024-01-10")
+    return read_daily(spark, root, []).count()
 
 
 def test_read_daily_absent_day_gives_no_rows(spark, scratch):
@@ -119,19 +140,20 @@ def test_read_daily_absent_day_gives_no_rows(spark, scratch):
 
 
 def test_day_sums_one_job_many_days_and_empty_day(spark, scratch):
-    from shelfprice.sources.daily import list_days
+    from shelfprice.sources.daily import list_days, write_id
 
     tables = jobs.Tables(scratch("tables"))
     items = items_of(spark, SF_SMALL).select(*ITEM_COLUMNS)
     write_daily(items.filter(F.col("storeId") == "0124"), tables.raw, "2024-01-09")
     write_daily(items.filter(F.col("categoryName") == "Бакалея"), tables.raw, "2024-01-10")  # nothing priced
     write_daily(items.filter(F.col("storeId") == "0091"), tables.raw, "2024-01-11")
-    jobs.day_sums(spark, tables, ["2024-01-09", "2024-01-10", "2024-01-11"])
+    ids = {d: write_id(spark, tables.raw, d) for d in ("2024-01-09", "2024-01-10", "2024-01-11")}
+    jobs.day_sums(spark, tables, ids)
     assert list_days(spark, tables.partials) == ["2024-01-09", "2024-01-10", "2024-01-11"]
     assert read_daily(spark, tables.partials, ["2024-01-10"]).count() == 0
     per_day = {r.DT.isoformat() for r in read_daily(spark, tables.partials).select("DT").distinct().collect()}
     assert per_day == {"2024-01-09", "2024-01-11"}
-    jobs.day_sums(spark, tables, ["2024-01-11"])   # replaces that day only
+    jobs.day_sums(spark, tables, {"2024-01-11": ids["2024-01-11"]})   # replaces that day only
     assert read_daily(spark, tables.partials, ["2024-01-09"]).count() > 0
 
 
