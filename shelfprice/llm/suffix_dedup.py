@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import Hasher, U, mix64, stored, table, utf8
 
 LENGTH, ANCHOR = 400, 128
-MAX_CONTEXTS = 2048
+MAX_CONTEXTS = 16_384          # about 11 MB of contexts; sorted in one task
 
 
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
