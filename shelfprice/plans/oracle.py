@@ -142,6 +142,16 @@ from items group by storeId""",
     "html_first_table": reference_cells_sql(),
     "pages_without_table": "select page_id, url from pages",
     "salary_tables": reference_cells_sql(f", {_DT}"),
+    "salary_wide": f"""
+select page_id, row_no, max(cell) filter (col_no = 0) as id, max(cell) filter (col_no = 1) as url,
+  max(cell) filter (col_no = 2) as url_2, cast(null as varchar) as column_3, cast(null as varchar) as more, {_DT}
+from ({reference_cells_sql()}) group by page_id, row_no""",
+    # the first copy of each day; the days are those of the price
+    "multi_day_averages": _KEPT_AVERAGES.replace(
+        "partition by storeId, webUrl", "partition by storeId, webUrl, cast(coalesce(floor(regularPrice), 0) as bigint) % 3") + f"""
+select 'discount' as which, storeId, categoryName, subcategoryName, avg_price_discount_new as avg_price, {CITY} as city from a
+union all
+select 'regular', storeId, categoryName, subcategoryName, avg_price_regular_new, {CITY} from a""",
     "daily_run": _KEPT_AVERAGES + f"""
 select storeId, categoryName, subcategoryName, avg_price_discount_new, avg_price_regular_new,
   {CITY} as city, {_DT} from a""",

@@ -24,7 +24,7 @@ from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
 from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
 from ..sources.html_tables import html_first_table, pages_without_table
-from ..sources.landing import read_landed_pages
+from ..sources.landing import read_landed_pages, write_landed_pages
 from ..sources.reference_pages import pages_with_table
 from ..sources.tables import read_table
 from . import jobs
@@ -185,6 +185,47 @@ def q_daily_run(spark, sf_dir):
     return _dt_text(read_daily(spark, tables.unit_prices))
 
 
+WIDE_HEADERS = ["id", "url", "url", ""]     # equal names and none: columns stay apart
+
+
+def q_salary_wide(spark, sf_dir):
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    jobs.salary(reference_pages(spark, sf_dir), tables, LANDED_DS, headers=WIDE_HEADERS)
+    return _dt_text(read_daily(spark, tables.salary_wide))
+
+
+def q_multi_day_averages(spark, sf_dir):
+    """Both published tables after reruns of earlier days.
+
+    All listings are split into three days by price.  The first day is first ingested with other
+    rows, and a fourth day with priced rows; after an aggregate the first is ingested with its own
+    rows and the fourth with a category that is not priced, and the aggregate runs again.
+    """
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    pages = read_landed_pages(spark, _land(spark, sf_dir))
+
+    def third_of(s):
+        return F.coalesce(F.floor(s["regularPrice"].cast("double")) % 3, F.lit(0))
+
+    kept = {"0": lambda s: third_of(s) == 0, "1": lambda s: third_of(s) == 1, "2": lambda s: third_of(s) == 2,
+            "unpriced": lambda s: s["categories"]["category"]["name"] == "Бакалея"}
+    part = {name: scratch_path(spark, "landing-" + name) for name in kept}
+    for name, keep in kept.items():
+        write_landed_pages(pages.withColumn("skus", F.filter("skus", keep)), part[name])
+    first, second, third, fourth = "2024-01-08", "2024-01-09", "2024-01-10", LANDED_DS
+    for day, name in ((first, "1"), (second, "1"), (third, "2"), (fourth, "2")):
+        jobs.ingest(spark, part[name], tables, day, audit=False)
+    jobs.aggregate(spark, tables, fourth)
+    jobs.ingest(spark, part["0"], tables, first, audit=False)
+    jobs.ingest(spark, part["unpriced"], tables, fourth, audit=False)
+    jobs.aggregate(spark, tables, fourth)
+    out = [read_daily(spark, root, [fourth]).select(
+        F.lit(which).alias("which"), "storeId", "categoryName", "subcategoryName",
+        F.col(f"avg_price_{which}_new").alias("avg_price"), "city")
+        for which, root in (("discount", tables.discount), ("regular", tables.regular))]
+    return out[0].unionByName(out[1])
+
+
 def q_stream_ingest_items(spark, sf_dir):
     from ..streaming.ingest_stream import stream_ingest
 
@@ -236,7 +277,9 @@ QUERIES: dict[str, QueryFn] = {
     "html_first_table": q_html_first_table,
     "pages_without_table": q_pages_without_table,
     "salary_tables": q_salary_tables,
+    "salary_wide": q_salary_wide,
     "daily_run": q_daily_run,
+    "multi_day_averages": q_multi_day_averages,
     "stream_ingest_items": q_stream_ingest_items,
     "export_csv": q_export_csv,
     "partition_overwrite": q_partition_overwrite,

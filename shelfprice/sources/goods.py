@@ -102,9 +102,9 @@ def goods_pages(lineitem: DataFrame, fetched_at: str = FETCHED_AT) -> DataFrame:
     a per-store window (a store may hold a third of all rows):
       * a global sort (range-partitioned, so a hot store spreads over tasks),
         after which a row's position inside its task is known;
-      * the row count of each task, prefix-summed over tasks: a table of one
-        row per task, broadcast (its size is the task count);
-      * the first global position of each store: a table of one row per store.
+      * the row count of each task and store, prefix-summed within the store: a
+        table of about one row per task, joined on task and store, so that a
+        store's rows meet it in as many pieces as there were tasks.
     The placed rows are checkpointed, so the counts and the join read one and
     the same cut into tasks.  Page = rank div 24, position = rank mod 24, so a
     page is bounded by construction and (offset, position) follows the goods
@@ -126,25 +126,22 @@ def goods_pages(lineitem: DataFrame, fetched_at: str = FETCHED_AT) -> DataFrame:
     # checkpoint in the cluster's checkpoint folder; also a lineage cut)
     checkpoint_root(lineitem.sparkSession)
     placed = g.orderBy("storeId", *GOODS_ORDER).select("storeId", "webUrl", sku, task, in_task).checkpoint()
-    per_task = placed.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per_task.select("task", F.coalesce(before, F.lit(0)).alias("start"))
-    ranked = (placed.join(F.broadcast(starts), "task")
-              .select("storeId", "webUrl", "sku", (F.col("start") + F.col("in_task")).alias("at")))
-    per_store = ranked.groupBy("storeId").agg(
-        F.min("at").alias("first"), F.count(F.lit(1)).alias("n"),
-        F.count_distinct("webUrl").alias("total"))
-    rows = (ranked.join(per_store.select("storeId", "first"), "storeId")
-            .select("storeId", "sku", (F.col("at") - F.col("first")).alias("rank")))
+    per_task = placed.groupBy("task", "storeId").agg(F.count(F.lit(1)).alias("n"), F.min("in_task").alias("first"))
+    per_store = placed.groupBy("storeId").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("webUrl").alias("total"))
+    before = F.sum("n").over(Window.partitionBy("storeId").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = (per_task.select("task", "storeId", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("start"))
+              .join(per_store.select("storeId", "total"), "storeId"))
+    rows = (placed.join(starts, ["task", "storeId"])
+            .select("storeId", "total", "sku", (F.col("start") + F.col("in_task")).alias("rank")))
     pages = (rows.groupBy("storeId", F.floor(F.col("rank") / PAGE_SIZE).alias("page"))
-             .agg(F.sort_array(F.collect_list(F.struct("rank", "sku"))).alias("entries"))
-             .select("storeId", (F.col("page") * PAGE_SIZE).alias("offset"),
+             .agg(F.first("total").alias("total"), F.sort_array(F.collect_list(F.struct("rank", "sku"))).alias("entries"))
+             .select("storeId", (F.col("page") * PAGE_SIZE).alias("offset"), "total",
                      F.transform("entries", lambda e: e["sku"]).alias("skus")))
     closing = per_store.select(
         "storeId", ((F.floor((F.col("n") - 1) / PAGE_SIZE) + 1) * PAGE_SIZE).alias("offset"),
-        F.array().cast(pages.schema["skus"].dataType).alias("skus"))
+        "total", F.array().cast(pages.schema["skus"].dataType).alias("skus"))
     return (pages.unionByName(closing)
-            .join(per_store.select("storeId", "total"), "storeId")
             .select("storeId", "offset", F.lit(fetched_at).alias("fetchedAt"), "total", "skus"))
 
 

@@ -54,6 +54,14 @@ def _written_keys(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(ITEM).parquet(path).select(*DEDUPE_KEYS)
 
 
+def _not_written(items: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Items whose key is not written yet; a null store or URL is a key like any other, as in keep-first."""
+    if seen is None:
+        return items
+    seen = seen.toDF(*[f"seen_{k}" for k in DEDUPE_KEYS])
+    return items.join(seen, [items[k].eqNullSafe(seen[f"seen_{k}"]) for k in DEDUPE_KEYS], "left_anti")
+
+
 def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, checkpoint: str,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
                   processing_time: str = "1 minute", csv_out: str | None = None) -> StreamingQuery:
@@ -67,10 +75,7 @@ def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, ch
     stream_tag = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:10]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        items = crawl_items(batch)
-        seen = _written_keys(batch.sparkSession, out)
-        if seen is not None:
-            items = items.join(seen, list(DEDUPE_KEYS), "left_anti").select(*items.columns)
+        items = _not_written(crawl_items(batch), _written_keys(batch.sparkSession, out))
         if csv_out is None:
             items.write.mode("append").parquet(out)
             return
@@ -79,9 +84,7 @@ def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, ch
         if not path_exists(spark_, staged + "/_SUCCESS"):
             items.write.mode("overwrite").parquet(staged)
         new = spark_.read.parquet(staged)
-        seen = _written_keys(spark_, out)
-        fresh = new if seen is None else new.join(seen, list(DEDUPE_KEYS), "left_anti").select(*new.columns)
-        fresh.write.mode("append").parquet(out)
+        _not_written(new, _written_keys(spark_, out)).write.mode("append").parquet(out)
         write_csv(new, f"{csv_out.rstrip('/')}/{stream_tag}-batch-{batch_id:08d}", mode="overwrite")
 
     writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

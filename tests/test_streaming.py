@@ -73,3 +73,15 @@ def test_csv_export_new_stream_keeps_old_batches(spark, tmp_path, scratch):
     stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt2"), csv_out=out).awaitTermination()
     assert read_csv(spark, out, recursive=True).count() == 2
     assert read_daily(spark, tables.raw).count() == 2
+
+
+def test_null_url_is_kept_once_over_all_batches(spark, tmp_path, scratch):
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    ckpt = scratch("ckpt")
+    drop(landing, "b1.json", [page("0124", 0, [None, "/a"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()
+    drop(landing, "b2.json", [page("0124", 24, [None, "/b"], "second")])
+    stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()
+    got = sorted(((r.webUrl or "", r.title) for r in read_daily(spark, tables.raw).collect()))
+    assert got == [("", "first"), ("/a", "first"), ("/b", "second")]
