@@ -12,7 +12,9 @@ difference of one there and keeps the pigeonhole sum at H + 1.
 2. Signatures of the classes are grouped; those that occur once go.
 3. Every member is compared with the first of its group, verified exactly, and the links give
    components.
-4. Groups that still hold several components are compared in blocks, members of different
+4. In groups that still hold several components every member is compared with HUBS more, of other
+   components, and verified alike.  Components are named anew.
+5. Groups that even then hold several components are compared in blocks, members of different
    components only, and what passes is verified exactly.  So a group of near copies costs as many
    comparisons as it has members, unless its members really are apart.
 
@@ -38,6 +40,7 @@ from .common import (Hasher, U, Words, chunks, components, mix64, shingle_hashes
 
 CELLS = 128                    # of the sketch
 BLOCK = 256                    # members compared at once
+HUBS = 8                       # members of an open group that all others are compared with
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
 SEGMENT_BITS, HASH_BITS = 17, 40
 PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature
@@ -202,23 +205,42 @@ def sketch_array(col) -> np.ndarray:
     return np.frombuffer(b"".join(col), np.uint8).reshape(-1, CELLS)
 
 
-def star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of a group that may be linked with the group's first class."""
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches allow a link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ok = may_link(sketch_array(b["sketch"]), b["n"].to_numpy(), sketch_array(b["hub_sketch"]), b["hub_n"].to_numpy(), percent)
             yield b.loc[ok, ["a", "b"]]
 
+    one = sketches.select(F.col("class").alias("b"), "n", "sketch")
+    two = sketches.select(F.col("class").alias("a"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
+    return pairs.join(one, "b").join(two, "a").mapInPandas(run, "a long, b long")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): members of a group with the group's first class."""
     group = Window.partitionBy("sig")
     hub = members.withColumn("hub", F.min("class").over(group))
-    pairs = hub.filter("class > hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    return with_sketches(pairs, members.select("class", "n", "sketch").distinct()).mapInPandas(run, "a long, b long")
+    return hub.filter("class > hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
 
 
-def with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    one = sketches.select(F.col("class").alias("b"), "n", "sketch")
-    two = sketches.select(F.col("class").alias("a"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
-    return pairs.join(one, "b").join(two, "a")
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): members of a group with those of another component among its hubs, which are the
+    members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
+    h = F.xxhash64("class")
+    hubs = (members.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
+            .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
+            .select("sig", F.col("hub.class").alias("hub"), F.col("hub.component").alias("hub_component")))
+    return (members.join(hubs, "sig").filter("component != hub_component")
+            .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
+
+
+def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """``members`` with their component, of the groups that hold several."""
+    marked = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class"))
+    groups = marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    return marked.join(groups.select("sig"), "sig")
 
 
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -307,12 +329,15 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
     members = stored(spark, members.join(classes.select("class", "n", "sketch"), "class"), "members-sketch")
     in_groups = stored(spark, members.select("class").distinct().join(classes, "class").select("class", "text_key", "id"), "in-groups")
     sets = stored(spark, set_rows(class_texts(docs, in_groups), k), "sets")
-    edges = stored(spark, verified(star_pairs(members, percent), sets, percent), "star-links")
+    sketches = stored(spark, members.select("class", "n", "sketch").distinct(), "sketches")
+    edges = stored(spark, verified(likely(star_pairs(members), sketches, percent), sets, percent), "star-links")
     parts = stored(spark, components(spark, edges), "star-components")
-    marked = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
-    open_groups = marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = marked.join(stored(spark, open_groups.select("sig"), "open-groups"), "sig")
+    rest = stored(spark, open_members(members, parts).select("sig", "class", "component"), "open-members")
+    hub_edges = stored(spark, verified(likely(hub_pairs(rest), sketches, percent), sets, percent), "hub-links")
+    if not hub_edges.isEmpty():
+        edges = edges.unionByName(hub_edges)
+        parts = stored(spark, components(spark, edges), "hub-components")
+    rest = stored(spark, open_members(members, parts), "still-open")
     more = stored(spark, verified(block_pairs(rest, percent), sets, percent), "block-links")
     return edges.unionByName(more)
 
