@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read again: its lineage ends here."""
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

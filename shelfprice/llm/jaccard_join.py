@@ -326,10 +326,9 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
         band = F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)
         fresh = shared(signature_rows(texts, k, bands, allocation, again))
         members = stored(spark, members.filter(~band.isin(*again)).unionByName(fresh), "members-again")
-    members = stored(spark, members.join(classes.select("class", "n", "sketch"), "class"), "members-sketch")
     in_groups = stored(spark, members.select("class").distinct().join(classes, "class").select("class", "text_key", "id"), "in-groups")
     sets = stored(spark, set_rows(class_texts(docs, in_groups), k), "sets")
-    sketches = stored(spark, members.select("class", "n", "sketch").distinct(), "sketches")
+    sketches = stored(spark, members.select("class").distinct().join(classes, "class").select("class", "n", "sketch"), "sketches")
     edges = stored(spark, verified(likely(star_pairs(members), sketches, percent), sets, percent), "star-links")
     parts = stored(spark, components(spark, edges), "star-components")
     rest = stored(spark, open_members(members, parts).select("sig", "class", "component"), "open-members")
@@ -338,7 +337,7 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
         edges = edges.unionByName(hub_edges)
         parts = stored(spark, components(spark, edges), "hub-components")
     rest = stored(spark, open_members(members, parts), "still-open")
-    more = stored(spark, verified(block_pairs(rest, percent), sets, percent), "block-links")
+    more = stored(spark, verified(block_pairs(rest.join(sketches, "class"), percent), sets, percent), "block-links")
     return edges.unionByName(more)
 
 
