@@ -1,13 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Test items are cut into word 3-grams.  One pass over the corpus counts in how many documents
-each of them occurs; of every item the rarest half (at least MIN_SEEDS) become its seeds, so an
-item keeps seeds however often it has leaked.  A second pass finds the seeds in every whole text,
-joins neighbouring hits into windows, and aligns item and window word by word: 2 for a match, -1
-for a mismatch or gap.  The score over the score of an exact copy is the similarity; at or above
-``threshold`` the document holds a copy, edited or not.
+Test items are cut into word 3-grams, and every one of them is a seed: which of them an edit
+leaves standing cannot be told from how rare they are.  One pass finds the seeds in every whole
+text, joins neighbouring hits into windows, and aligns item and window word by word: 2 for a
+match, -1 for a mismatch or gap.  The score over the score of an exact copy is the similarity; at
+or above ``threshold`` the document holds a copy, edited or not.  A copy that keeps no three
+words in a row is not found.
 
-Items are sent to the tasks in blocks of at most BLOCK_BYTES of text, one pair of passes a block, so
+Common seeds cost little: a score at the threshold needs that share of the item's words within
+the stretch a copy can span, and windows without it are not aligned.
+
+Items are sent to the tasks in blocks of at most BLOCK_BYTES of text, one pass a block, so
 what is broadcast has a fixed bound; the corpus is only mapped, never shuffled or paired.
 
 Defined results: null and empty texts match nothing; an item of fewer than MIN_WORDS words is
@@ -23,9 +26,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Hasher, U, Words, chunks, lookup, shingle_hashes, sum_counts, table, utf8
+from .common import Hasher, Words, chunks, lookup, shingle_hashes, table, utf8
 
-N, MIN_WORDS, MIN_SEEDS = 3, 5, 8
+N, MIN_WORDS = 3, 5
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 BLOCK_BYTES = 4 << 20
@@ -72,37 +75,41 @@ class Items:
         self.keys, self.first = np.unique(self.grams, return_index=True)
         self.first = np.append(self.first, len(self.grams))
 
-    def keep_rare(self, keys: np.ndarray, documents: np.ndarray) -> None:
-        """Leaves the rarest half of every item's n-grams, at least MIN_SEEDS."""
-        at, known = lookup(keys, self.grams)
-        often = np.where(known, documents[at] if len(keys) else 0, 0)
-        keep = np.zeros(len(self.grams), bool)
-        order = np.lexsort((self.places, often, self.owners))
-        owners = self.owners[order]
-        starts = np.flatnonzero(np.diff(owners, prepend=-1))
-        for a, b in zip(starts, [*starts[1:], len(order)]):
-            keep[order[a:a + max(MIN_SEEDS, (b - a + 1) // 2)][:b - a]] = True
-        self.index(self.grams[keep], self.owners[keep], self.places[keep])
+    def can_hold(self, owner: int, window: np.ndarray, threshold: float) -> bool:
+        """Whether an alignment with ``window`` can reach the threshold: it must match that share
+        of the item, and a copy that reaches it spans at most 2 * m words."""
+        item = self.words[owner]
+        m = len(item)
+        among = np.cumsum(np.concatenate([[0], lookup(np.sort(item), window)[1]]))
+        most = among[-1] if len(window) <= 2 * m else (among[2 * m:] - among[:-2 * m]).max()
+        return bool(min(most, np.isin(item, window).sum()) >= threshold * m)
 
     def leaks(self, words: np.ndarray, threshold: float) -> list[tuple]:
         """(item, similarity, first word, one past the last) of the copies in a text."""
         grams = shingle_hashes(words, N)
         at, hit = lookup(self.keys, grams)
         places = np.flatnonzero(hit)
-        found: dict[int, list] = {}
-        for p in places:
-            for k in range(self.first[at[p]], self.first[at[p] + 1]):
-                found.setdefault(int(self.owners[k]), []).append(int(p))
+        first, n = self.first[at[places]], self.first[at[places] + 1] - self.first[at[places]]
+        owners = self.owners[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        places = np.repeat(places, n)
+        order = np.lexsort((places, owners))
+        owners, places = owners[order], places[order]
+        edges = np.flatnonzero(np.diff(owners)) + 1
+        found = zip(owners[np.append(0, edges)].tolist(), np.split(places, edges)) if len(owners) else ()
         out = []
-        for owner, hits in found.items():
+        for owner, hits in found:
             item = self.words[owner]
             m, best = len(item), None
             hits = np.unique(hits)
             for window in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * m) + 1):
                 a, b = max(0, window[0] - 2 * m), window[-1] + 2 * m
+                if not self.can_hold(owner, words[a:b], threshold):
+                    continue
                 score, end = align(item, words[a:b])
                 if best is None or score > best[0]:
                     best = score, a, end
+            if best is None:
+                continue
             score, a, end = best
             if score >= threshold * MATCH * m:
                 _, back = align(item[::-1], words[a:a + end][::-1])
@@ -124,25 +131,6 @@ def item_blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[tupl
         yield ids, texts
 
 
-def seed_counts(docs: DataFrame, text_col: str, items) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that hold each n-gram of the block: as many rows as the block has n-grams."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, keys = Hasher(fold=True), items.value["keys"]
-        sums = np.zeros(len(keys), np.int64)
-        for b in batches:
-            for _, held in chunks(b["text"]):
-                w = Words(held, hasher)
-                for i in range(len(held)):
-                    at, hit = lookup(keys, shingle_hashes(w.hash[w.bounds[i]:w.bounds[i + 1]], N))
-                    sums[np.unique(at[hit])] += 1
-        at = np.flatnonzero(sums)
-        yield pd.DataFrame({"gram": keys[at].view(np.int64), "n": sums[at]})
-
-    rows = (docs.select(F.col(text_col).alias("text")).mapInPandas(count, "gram long, n long")
-            .groupBy("gram").agg(F.sum("n").alias("n")).toPandas())
-    return sum_counts([(rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64))])
-
-
 def leak_finder(shared, threshold: float):
     @F.pandas_udf(LEAK)
     def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -163,7 +151,6 @@ def leak_columns(spark: SparkSession, docs: DataFrame, items: DataFrame, text_co
         block = Items(texts)
         if not len(block.keys):
             continue
-        block.keep_rare(*seed_counts(docs, text_col, spark.sparkContext.broadcast(vars(block))))
         shared = spark.sparkContext.broadcast(vars(block))
 
         yield ids, leak_finder(shared, threshold)(F.col(text_col))

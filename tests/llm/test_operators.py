@@ -208,6 +208,31 @@ def test_decontamination(spark):
     assert {r.doc_id for r in decontaminate.keep_clean(spark, df, bench).collect()} == {0, 3}
 
 
+def test_decontamination_of_copies_with_spread_edits(spark):
+    rnd = random.Random(7)
+    items = {i: [f"w{rnd.randrange(3000)}" for _ in range(30 + i // 6)] for i in range(12)}
+    filler = [f"f{rnd.randrange(3000)}" for _ in range(150)]
+    docs = [(100 + i, filler + w + filler) for i, w in items.items() if i % 2]  # a whole copy keeps all 3-grams in the corpus
+    for i, w in items.items():
+        step = 4 + i % 3
+        edited = [f"e{rnd.randrange(10 ** 6)}" if j % step == step - 1 else x for j, x in enumerate(w)]
+        docs.append((1000 + i, filler + edited + filler))
+        docs.append((2000 + i, filler + w[:6] + filler + w[-6:]))               # seeds, but no copy
+    docs.append((3000, filler[:40] + sum(([*w[:4], *filler[:3]] for w in items.values()), [])))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    code: dict = {}
+    number = (lambda w: np.array([code.setdefault(x, len(code)) for x in w], np.uint64))
+    want = {}
+    for d, text in docs:
+        for i, w in items.items():
+            score, _ = decontaminate.align(number(w), number(text))
+            if score >= len(w):
+                want[d, i] = score / (2 * len(w))
+    got = {(r.id, r.item_id): r.similarity for r in decontaminate.contaminated(spark, df, bench).collect()}
+    assert len(want) >= 6 + len(items) and got == want
+
+
 def test_html_blocks():
     page = ("<title>t</title><nav><a>menu</a></nav><div class='cookie-notice'>ok?</div><article><header><h1>A &amp; B</h1></header>"
             "<p>one <b>two\n three<br>four<p>five<aside>no</aside><form>no</form><script>if (a<b) x('</p>')</script>"
