@@ -1,17 +1,18 @@
 """LM scoring with a weighted backoff automaton of smoothed n-grams.
 
-Training counts every word of the training part of the corpus.  The automaton has an empty
-state, a start state and one state for each word with at least STATE_SHARE of the training
-tokens; arcs are the word pairs with at least ARC_SHARE.  An arc costs the pair's absolutely
-discounted probability interpolated with the word's; where a state has no arc its failure arc
-leads to the empty state at the state's left-over mass, and there the word costs its add-one
-probability.  Each state's probabilities add up to one.  A text is read once, left to right: the
-state is the word before, and log10 probabilities add up, its end included.
-
-By their shares there are at most 1 / STATE_SHARE states and 1 / ARC_SHARE arcs, so the automaton is
-broadcast whatever the corpus.  Counts of the words below VOCABULARY_SHARE, which have no bound, are
-joined with their places in the texts by shuffle; such a word is rare by definition, so no key is hot
-but words that only unseen texts use.
+Training counts every word, word pair and triple of the training part of the corpus.  The automaton
+has an empty state, a start state, a state for each word and one for each pair; arcs are the
+pairs and triples that occur MIN_COUNT times or more, whatever the corpus.  An arc costs its
+absolutely discounted probability interpolated with that of the arc one word shorter, a word alone
+its add-one probability; where a state has no arc its failure arc leads to the state one word
+shorter at the state's left-over mass.  Each state's probabilities add up to one.  A text is read
+once, left to right, and log10 probabilities add up, its end included.
+
+Along a text failure costs are paid at every state and taken back where an arc leaves it, so each
+n-gram has a weight of its own and a text's score is the sum of its n-grams' weights.  The weights
+are a stored table, joined by shuffle with the texts' n-gram places.  N-grams with at least
+HEAD_SHARE of the training tokens, at most 1 / HEAD_SHARE of each order, are held in the tasks
+instead, with the same result; so no key is hot but those that only unseen texts use.
 
 Words are as in ``common`` (A-Z lower-cased), compared by 64-bit hashes; the end counts as a token.
 
@@ -27,13 +28,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType
 
-from .common import Hasher, U, Words, chunks, lookup, stored, sum_counts, table
+from .common import BASE, Hasher, U, Words, chunks, lookup, mix64, stored, sum_counts, table
 
 FOLDS, HELD_OUT = 7, 2
-DISCOUNT = 0.75
-STATE_SHARE, ARC_SHARE, VOCABULARY_SHARE = 1e-5, 2e-6, 2e-6
-END = U(0xE4D)                 # hash that stands for the end of a text
+DISCOUNT, MIN_COUNT = 0.75, 2
+HEAD_SHARE = 4e-6
+END, START = U(0xE4D), U(0x57A)  # hashes that stand for the end and the start of a text
 MAX_HELD = 1 << 20             # distinct keys a task adds up before it passes them on
 
 
@@ -51,71 +53,104 @@ def token_runs(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.insert(w.hash, ends, END), w.bounds[:-1] + np.arange(len(held))
 
 
-def added_up(name: str, keys_of):
-    """mapInPandas function: counts of the keys ``keys_of(tokens, starts)`` gives, added up in the task."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-        for b in batches:
-            for tokens, starts in token_runs(b["text"]):
-                keys, n = np.unique(keys_of(tokens, starts), return_counts=True)
-                held.append((keys.view(np.uint64), n))
-                size += len(keys)
-                if size > 2 * MAX_HELD:
-                    held = [sum_counts(held)]
-                    size = len(held[0][0])
-                    if size > MAX_HELD:
-                        yield pd.DataFrame({name: held[0][0].view(np.int64), "c": held[0][1]})
-                        held, size = [], 0
-        if held:
-            keys, n = sum_counts(held)
-            yield pd.DataFrame({name: keys.view(np.int64), "c": n})
-    return run
+def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hash of a pair of words, or of the triple whose pairs ``x`` and ``y`` overlap in a word."""
+    return mix64(mix64(x + U(1)) * U(BASE) + y + U(2))
+
+
+@F.pandas_udf(LongType())
+def joined_key(x: pd.Series, y: pd.Series) -> pd.Series:
+    return pd.Series(joined(x.to_numpy(np.int64).view(np.uint64), y.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+
+
+def n_grams(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word before each token, pair ending there, places of the second and further tokens of their texts)."""
+    before = np.concatenate([[START], tokens[:-1]]).astype(np.uint64)
+    before[starts] = START
+    later = np.ones(len(tokens), bool)
+    later[starts] = False
+    return before, joined(before, tokens), np.flatnonzero(later)
+
+
+def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held, size = [], 0
+    for b in batches:
+        for tokens, _ in token_runs(b["text"]):
+            held.append(np.unique(tokens, return_counts=True))
+            size += len(held[-1][0])
+            if size > 2 * MAX_HELD:
+                held = [sum_counts(held)]
+                size = len(held[0][0])
+                if size > MAX_HELD:
+                    yield pd.DataFrame({"w": held[0][0].view(np.int64), "c": held[0][1]})
+                    held, size = [], 0
+    if held:
+        keys, n = sum_counts(held)
+        yield pd.DataFrame({"w": keys.view(np.int64), "c": n})
+
+
+def count_arcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(size, x, y, c): pairs by their words, triples by their pairs, added up in the task."""
+    def frame(held) -> pd.DataFrame:
+        size, x, y = (np.concatenate(a) for a in zip(*held))
+        _, at, n = np.unique(joined(x, y), return_index=True, return_counts=True)
+        return pd.DataFrame({"size": size[at], "x": x[at].view(np.int64), "y": y[at].view(np.int64), "c": n})
+
+    held, size = [], 0
+    for b in batches:
+        for tokens, starts in token_runs(b["text"]):
+            before, pair, later = n_grams(tokens, starts)
+            held.append((np.full(len(tokens), 2, np.int8), before, tokens))
+            held.append((np.full(len(later), 3, np.int8), pair[later - 1], pair[later]))
+            size += len(tokens) + len(later)
+            if size > 2 * MAX_HELD:
+                yield frame(held)
+                held, size = [], 0
+    if held:
+        yield frame(held)
 
 
 class Automaton:
-    """States, arcs and the frequent words, as sorted arrays.
+    """The frequent words, pairs and triples, as sorted arrays.
 
-    ``state`` words are sorted by hash and state i is the i-th; the start state comes after them.
+    ``states`` are sorted by hash and state i is the i-th; the start state comes after them.  A pair's
+    arc is also a state; ``after`` is its left-over mass, and triples are pairs of arcs.
     """
 
-    def __init__(self, words, counts, total: int, distinct: int, texts: int):
+    def __init__(self, words, counts, total: int, distinct: int):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         self.total, self.floor = total, total + distinct + 1
-        often = self.counts >= max(STATE_SHARE * total, 1)
-        often &= self.words != END
-        self.states = self.words[often]
-        self.mass = np.append(self.counts[often], texts).astype(np.float64)
-        self.arcs, self.arc_cost = np.zeros(0, np.int64), np.zeros(0)
+        self.states = self.words[self.words != END]
         self.left = np.ones(len(self.states) + 1)
+        self.arcs, self.arc_cost, self.after = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        self.triples, self.triple_weight = np.zeros(0, np.int64), np.zeros(0)
 
     def place(self, tokens: np.ndarray) -> np.ndarray:
         """State number of each token; -1 for words without a state, and for END the number of states + 1."""
         at, known = lookup(self.states, tokens)
         return np.where(known, at, np.where(tokens == END, len(self.states) + 1, -1))
 
-    def pairs(self, tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Key (state before, token's place) of every token that has both."""
-        place, before = self.place(tokens), self.before(tokens, starts)
-        ok = (place >= 0) & (before >= 0)
-        return before[ok] * (len(self.states) + 2) + place[ok]
+    def source(self, tokens: np.ndarray) -> np.ndarray:
+        """State number of each context; -1 for words without a state."""
+        return np.where(tokens == START, len(self.states), self.place(tokens))
 
-    def before(self, tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        place = self.place(tokens)
-        before = np.concatenate([[-1], place[:-1]])
-        before[starts] = len(self.states)
-        return before
+    def add_left(self, contexts: np.ndarray, left: np.ndarray) -> None:
+        self.left[self.source(contexts)] = left
+
+    def add_arcs(self, before, tokens, pair, cost, after) -> None:
+        keys = self.source(before) * (len(self.states) + 2) + self.place(tokens)
+        order = np.argsort(keys)
+        self.arcs, self.arc_cost, self.after = keys[order], cost[order], after[order]
+        by_pair = np.argsort(pair[order])
+        self.pairs, self.arc_of = pair[order][by_pair], by_pair
 
-    def add_arcs(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    def add_triples(self, first, second, weight) -> None:
+        at = [self.arc_of[lookup(self.pairs, p)[0]] if len(p) else np.zeros(0, np.int64) for p in (first, second)]
+        keys = at[0] * len(self.arcs) + at[1]
         order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        width = len(self.states) + 2
-        source, target = keys // width, keys % width
-        share = (counts - DISCOUNT) / self.mass[source]
-        self.left = 1 - np.bincount(source, share, minlength=len(self.states) + 1)
-        self.left = np.maximum(self.left, 1e-12)
-        token = np.where(target < len(self.states), np.append(self.states, [U(0), END])[np.minimum(target, len(self.states) + 1)], END)
-        self.arcs, self.arc_cost = keys, np.log10(share + self.left[source] * 10 ** self.base(token)[0])
+        self.triples, self.triple_weight = keys[order], weight[order]
+        del self.pairs, self.arc_of
 
     def base(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 add-one probability, whether the word is among the frequent ones)."""
@@ -124,32 +159,85 @@ class Automaton:
         return np.log10((np.where(known, c, 0) + 1) / self.floor), known
 
     def read(self, tokens: np.ndarray, starts: np.ndarray) -> dict:
-        """Traversal of some texts: costs added up by text, and the places of words looked up later."""
+        """Traversal of some texts: weights added up by text, and each text's n-grams that are looked up later."""
+        before, pair, later = n_grams(tokens, starts)
         base, known = self.base(tokens)
-        place, before = self.place(tokens), self.before(tokens, starts)
-        at, arc = lookup(self.arcs, before * (len(self.states) + 2) + place)
-        arc &= (before >= 0) & (place >= 0)
-        failure = np.where(before >= 0, np.log10(self.left)[before], 0.0)
-        cost = np.where(arc, self.arc_cost[at] if len(self.arcs) else 0.0, failure + np.where(known, base, 0.0))
+        place, source = self.place(tokens), self.source(before)
+        left = np.log10(self.left)
+        cost = base + np.where((place >= 0) & (place < len(self.states)), left[np.minimum(place, len(self.states))], 0.0)
+        cost[starts] += left[-1]
+        at, arc = lookup(self.arcs, source * (len(self.states) + 2) + place)
+        arc &= (source >= 0) & (place >= 0)
+        if len(self.arcs):
+            cost += np.where(arc, self.arc_cost[at] + np.log10(self.after[at]) - left[source] - base, 0.0)
+        at3, known3 = lookup(self.triples, at[later - 1] * len(self.arcs) + at[later])
+        known3 &= arc[later - 1] & arc[later]
+        if len(self.triples):
+            cost[later] += np.where(known3, self.triple_weight[at3], 0.0)
+        lost3 = later[~known3]
+        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(tokens))))
+        keys = np.concatenate([tokens[~known], pair[~arc], joined(pair[lost3 - 1], pair[lost3])]).view(np.int64)
+        owners = np.concatenate([owner[~known], owner[~arc], owner[lost3]])
+        order = np.argsort(owners, kind="stable")
         add = (lambda x: np.add.reduceat(x, starts) if len(starts) else x[:0])
-        return {"n_tokens": np.diff(np.append(starts, len(tokens))), "n_known": add(known.astype(np.int64)),
-                "base": add(np.where(known, base, 0.0)), "cost": add(cost), "rare": ~known}
+        return {"n_tokens": np.diff(np.append(starts, len(tokens))), "n_known": add(known.astype(np.int64)), "base": add(base),
+                "cost": add(cost), "rare": np.split(keys[order], np.searchsorted(owners[order], np.arange(1, len(starts))))}
+
+
+def uint(column: pd.Series) -> np.ndarray:
+    return column.to_numpy(np.int64).view(np.uint64)
 
 
 def train(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, Automaton, int]:
-    """(stored counts (w, c) of all training tokens, automaton of the frequent ones, their sum)."""
+    """(stored weights (k, known, base, weight) of all n-grams, automaton of the frequent ones, training tokens).
+
+    ``base`` and ``weight`` of a word are beyond those of an unknown one, so what is not there adds nothing.
+    """
     training = rows.filter("not held_out").select("text")
-    counts = stored(spark, training.mapInPandas(added_up("w", lambda tokens, starts: tokens), "w long, c long")
-                    .groupBy("w").agg(F.sum("c").alias("c")), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    texts = counts.filter(F.col("w") == int(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    often = counts.filter(F.col("c") >= VOCABULARY_SHARE * total).toPandas()        # at most 1 / share rows
-    a = Automaton(often["w"].to_numpy(np.int64).view(np.uint64), often["c"].to_numpy(np.int64), total, distinct, texts)
-    shared = spark.sparkContext.broadcast(vars(a))
-    pairs = (training.mapInPandas(added_up("pair", lambda tokens, starts: automaton(shared).pairs(tokens, starts)), "pair long, c long")
-             .groupBy("pair").agg(F.sum("c").alias("c")).filter(F.col("c") >= max(2, ARC_SHARE * total)).toPandas())
-    a.add_arcs(pairs["pair"].to_numpy(np.int64), pairs["c"].to_numpy(np.int64))     # at most 1 / share rows
-    return counts, a, total
+    words = stored(spark, training.mapInPandas(count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "word-counts")
+    total, distinct, texts = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
+                                       F.coalesce(F.sum(F.when(F.col("w") == int(END), F.col("c"))), F.lit(0))).first()
+    grams = stored(spark, training.mapInPandas(count_arcs, "size byte, x long, y long, c long").groupBy("size", "x", "y")
+                   .agg(F.sum("c").alias("c")).filter(F.col("c") >= MIN_COUNT).withColumn("k", joined_key("x", "y")), "gram-counts")
+
+    def left_of(arcs: DataFrame, mass: DataFrame, name: str) -> DataFrame:
+        """(x, mass, left): left-over mass of every state with arcs."""
+        used = arcs.groupBy("x").agg((F.sum("c") - DISCOUNT * F.count("*")).alias("used"))
+        return stored(spark, used.join(mass, "x").select(
+            "x", "mass", F.greatest(1 - F.col("used") / F.col("mass"), F.lit(1e-12)).alias("left")), name)
+
+    share = (F.col("c") - DISCOUNT) / F.col("mass")
+    contexts = words.select(F.col("w").alias("x"), F.col("c").alias("mass")).filter(F.col("x") != int(END)).unionByName(
+        spark.createDataFrame([(int(START), texts)], "x long, mass long"))
+    left1 = left_of(grams.filter("size = 2"), contexts, "word-states")
+    alone = words.select(F.col("w").alias("y"), F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1))).alias("base"))
+    cost = F.log10(share + F.col("left") * F.pow(F.lit(10.0), "base"))
+    arcs = stored(spark, grams.filter("size = 2").drop("size").join(left1, "x").join(alone, "y").select(
+        "k", "x", "y", "c", cost.alias("cost"), (cost - F.log10("left") - F.col("base")).alias("weight")), "arcs")
+    left2 = left_of(grams.filter("size = 3"), arcs.select(F.col("k").alias("x"), F.col("c").alias("mass")), "pair-states")
+    shorter = arcs.select(F.col("k").alias("y"), F.col("cost").alias("base"))
+    triples = stored(spark, grams.filter("size = 3").drop("size").join(left2, "x").join(shorter, "y").select(
+        "k", "x", "y", "c", (cost - F.log10("left") - F.col("base")).alias("weight")), "triples")
+    failure = F.coalesce(F.log10("left"), F.lit(0.0))
+    pair_states = arcs.join(left2.select(F.col("x").alias("k"), "left"), "k", "left")
+    often = F.col("c") >= HEAD_SHARE * total                                        # at most 1 / share rows of each order
+    none = F.lit(0.0)
+    weights = stored(
+        spark, words.filter(~often).join(left1.select(F.col("x").alias("w"), "left"), "w", "left").select(
+            F.col("w").alias("k"), F.lit(1).alias("known"), F.log10(F.col("c") + 1).alias("base"),
+            (F.log10(F.col("c") + 1) + failure).alias("weight"))
+        .unionByName(pair_states.filter(~often).select("k", F.lit(0).alias("known"), none.alias("base"), (F.col("weight") + failure).alias("weight")))
+        .unionByName(triples.filter(~often).select("k", F.lit(0).alias("known"), none.alias("base"), "weight")), "weights")
+    head = words.filter(often).toPandas()
+    a = Automaton(uint(head["w"]), head["c"].to_numpy(np.int64), total, distinct)
+    hot = words.filter(often).select(F.col("w").alias("x")).unionByName(spark.createDataFrame([(int(START),)], "x long"))
+    left = left1.join(hot, "x").select("x", "left").toPandas()
+    a.add_left(uint(left["x"]), left["left"].to_numpy())
+    head = pair_states.filter(often).select("x", "y", "k", "cost", F.coalesce("left", F.lit(1.0)).alias("left")).toPandas()
+    a.add_arcs(uint(head["x"]), uint(head["y"]), uint(head["k"]), head["cost"].to_numpy(), head["left"].to_numpy())
+    head = triples.filter(often).select("x", "y", "weight").toPandas()
+    a.add_triples(uint(head["x"]), uint(head["y"]), head["weight"].to_numpy())
+    return weights, a, total
 
 
 def automaton(shared) -> Automaton:
@@ -162,13 +250,7 @@ def read_texts(shared, id_type: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = automaton(shared)
         for b in batches:
-            parts = []
-            for tokens, starts in token_runs(b["text"]):
-                r = a.read(tokens, starts)
-                owner = np.repeat(np.arange(len(starts)), r["n_tokens"])[r["rare"]]
-                lost = np.split(tokens[r.pop("rare")].view(np.int64), np.searchsorted(owner, np.arange(1, len(starts))))
-                parts.append(pd.DataFrame(r | {"rare": lost}))
-            out = pd.concat(parts, ignore_index=True)
+            out = pd.concat([pd.DataFrame(a.read(tokens, starts)) for tokens, starts in token_runs(b["text"])], ignore_index=True)
             yield pd.concat([b[["id", "held_out"]].reset_index(drop=True), out], axis=1)
     return run, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base double, cost double, rare array<long>"
 
@@ -176,18 +258,15 @@ def read_texts(shared, id_type: str):
 def score(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     rows = with_fold(docs, id_col, text_col)
-    counts, a, total = train(spark, rows)
+    weights, a, total = train(spark, rows)
     run, schema = read_texts(spark.sparkContext.broadcast(vars(a)), rows.schema["id"].dataType.simpleString())
     read = stored(spark, rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "read")
-    # what is left to look up: a word's places are added up by text before and after the join
-    rare = read.select("row", F.explode("rare").alias("w")).groupBy("row", "w").agg(F.count("*").alias("n"))
-    one = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(a.floor)))
-    looked_up = (stored(spark, rare, "rare").join(counts, "w", "left").groupBy("row")
-                 .agg(F.sum(F.col("n") * one).alias("rest"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("more")))
-    rest = F.coalesce("rest", F.lit(0.0))
-    return read.join(looked_up, "row", "left").select(
+    looked_up = (read.select("row", F.explode("rare").alias("k")).join(weights, "k").groupBy("row")
+                 .agg(F.sum("known").alias("more"), F.sum("base").alias("more_base"), F.sum("weight").alias("rest")))
+    return read.drop("rare").join(looked_up, "row", "left").select(
         "id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"), (F.col("cost") + rest).alias("score"))
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("cost") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

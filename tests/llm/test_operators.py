@@ -169,6 +169,39 @@ def test_lm_probabilities_add_up(spark):
         assert abs(r.base_score - want) < 1e-9 and r.n_tokens == len(tokens)
 
 
+@pytest.mark.parametrize("share", [4e-6, 0.03, 2])
+def test_lm_scores_equal_all_n_grams(spark, share, monkeypatch):
+    """Whole model of order 3 in plain Python; with all, some and no n-grams held in the tasks."""
+    monkeypatch.setattr(lm_score, "HEAD_SHARE", share)
+    rnd = random.Random(11)
+    texts = {i: " ".join(rnd.choice("abcdefgh") + rnd.choice(["", "", "x", "y"]) for _ in range(rnd.randrange(0, 30))) for i in range(60)}
+    texts |= {100 + i: texts[i] for i in range(0, 60, 9)}
+    scored = lm_score.score(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    count = [Counter() for _ in range(4)]
+    runs = {r.id: ["START", *texts[r.id].split(), "END"] for r in scored}
+    for r in scored:
+        t = runs[r.id]
+        for k in (1, 2, 3):
+            count[k].update(tuple(t[j:j + k]) for j in range(k == 1, len(t) - k + 1) if not r.held_out)
+    count[1]["START",] = count[1]["END",]
+    total = sum(n for g, n in count[1].items() if g != ("START",))
+    floor = total + len(count[1])                            # START is no word, the unknown word is one
+
+    def p(gram):
+        if len(gram) == 1:
+            return (count[1][gram] + 1) / floor
+        mass, k = count[len(gram) - 1][gram[:-1]], len(gram)
+        used = sum(n - 0.75 for g, n in count[k].items() if g[:-1] == gram[:-1] and n > 1) if mass else 0
+        own = (count[k][gram] - 0.75) / mass if count[k][gram] > 1 else 0
+        return own + (1 - used / mass if mass else 1) * p(gram[1:])
+
+    for r in scored:
+        t = runs[r.id]
+        want = sum(log10(p(tuple(t[max(0, j - 2):j + 1]))) for j in range(1, len(t)))
+        assert abs(r.score - want) < 1e-8 and r.n_tokens == len(t) - 1
+        assert r.n_known == sum(count[1][w,] > 0 for w in t[1:]) and r.train_tokens == total
+
+
 def test_kneser_ney_is_a_distribution():
     rnd = np.random.default_rng(0)
     top = np.zeros(quality.SYMBOLS ** 4, np.int64)
