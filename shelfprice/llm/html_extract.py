@@ -4,18 +4,23 @@ A page is cut into blocks.  Blocks inside ``article`` or ``main`` are its text;
 menus, headers, footers, sidebars, notices, adverts, forms and comment sections are not; scripts,
 styles and markup are no blocks at all.  Blocks that neither tells apart are judged by the host:
 the token streams of its pages (all but the article blocks, which stay whatever repeats) make a
-suffix array, held as its intervals of depth RUN: all suffixes with equal first RUN tokens.  An
-interval with suffixes of MIN_PAGES or more distinct pages is boilerplate, and covers those tokens on
-each of them; a block covered for more than half goes, unique runs stay.  Intervals are found by
-grouping on host and run, with each page counted once per run before anything is shuffled, so a host
-with a third of all pages is a sum like any other.
+suffix array, of which the repeats of RUN tokens or more count that are on SHARE of the host's
+different pages, two at least.  They cover those tokens on each page; a block covered for more than
+half goes, unique runs stay.  A block of SHORT to RUN - 1 tokens goes if it is repeated as a whole
+on as many pages.
+
+A maximal repeat of RUN tokens or more is covered by its runs of RUN tokens, which are on as many
+pages or more, and each such run lies in a maximal repeat on the same pages; so the suffix array is
+held as its intervals of depth RUN.  They are found by grouping on host and run, with each page
+counted once per run before anything is shuffled, so a host with a third of all pages is a sum
+like any other.  Only hosts with blocks to judge are looked at.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by
 one line break.
 
 Defined results: a null or empty page has an empty text; an unclosed element ends with its parent
-or the page; repeated rows are pages of their own and so count as repeats of each other; a null
-url belongs to the empty host; an empty table gives an empty result.
+or the page; pages of a host with equal text outside menus and the like, and so repeated rows, count as
+one; a null url belongs to the empty host; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,16 +28,19 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Hasher, Words, shingle_hashes, stored, table, utf8
+from .common import Hasher, Words, shingle_hashes, small_side, stored, table, utf8
 from .url_filter import AUTHORITY
 from .common import lower_ascii
 
-RUN, MIN_PAGES = 4, 2
+RUN, SHORT = 8, 4
+MIN_PAGES, SHARE = 2, 0.1
+MAX_BROADCAST = 1_000_000
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S | re.I)
@@ -99,14 +107,18 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
+def text_hash(text: str) -> int:
+    return int.from_bytes(blake2b(utf8(text), digest_size=8).digest(), "little", signed=True)
+
+
 def page_rows(pages: DataFrame) -> DataFrame:
-    """(id, url, host, main, open, runs): article text, unjudged blocks with their places, and the
-    hashes of the page's token runs outside the article, by place."""
+    """(id, url, host, page, main, open, runs): hash of the page's text, article text, unjudged blocks with their
+    places (and hashes, if short), and the hashes of the page's token runs outside the article, by place."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher(fold=False)
         for b in batches:
             parsed = [blocks(p) if isinstance(p, str) else [] for p in b["html"]]
-            streams, opens = [], []
+            streams, opens, texts = [], [], []
             for page in parsed:
                 w = Words([utf8(" ".join(t for t, role in page if role != IN))], hasher)
                 streams.append(shingle_hashes(w.hash, RUN).view(np.int64))
@@ -114,15 +126,16 @@ def page_rows(pages: DataFrame) -> DataFrame:
                 for i, (t, role) in enumerate(page):
                     n = len(t.split()) if role != IN else 0
                     if role == OPEN:
-                        mine.append({"i": i, "text": t, "at": at, "n": n})
+                        mine.append({"i": i, "text": t, "at": at, "n": n, "run": text_hash(t) if SHORT <= n < RUN else None})
                     at += n
                 opens.append(mine)
-            yield pd.DataFrame({"id": b["id"], "url": b["url"], "host": b["host"], "open": opens, "runs": streams,
+                texts.append(text_hash("\n".join(t for t, role in page if role != OUT)))
+            yield pd.DataFrame({"id": b["id"], "url": b["url"], "host": b["host"], "page": texts, "open": opens, "runs": streams,
                                 "main": [[{"i": i, "text": t} for i, (t, role) in enumerate(p) if role == IN] for p in parsed]})
 
     kind = pages.schema["id"].dataType.simpleString()
-    return pages.mapInPandas(run, f"id {kind}, url string, host string, main array<struct<i:int,text:string>>, "
-                                  "open array<struct<i:int,text:string,at:int,n:int>>, runs array<long>")
+    return pages.mapInPandas(run, f"id {kind}, url string, host string, page long, main array<struct<i:int,text:string>>, "
+                                  "open array<struct<i:int,text:string,at:int,n:int,run:long>>, runs array<long>")
 
 
 def extract(spark: SparkSession, pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
@@ -131,14 +144,22 @@ def extract(spark: SparkSession, pages: DataFrame, id_col="page_id", url_col="ur
     rows = stored(spark, page_rows(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"),
                                                 F.col(html_col).alias("html")))
                   .withColumn("row", F.monotonically_increasing_id()), "pages")
-    # intervals of the host's suffix array at depth RUN that several pages share
-    boiler = stored(spark, rows.select("host", F.explode(F.array_distinct("runs")).alias("run"))
-                    .groupBy("host", "run").agg(F.count("*").alias("pages")).filter(F.col("pages") >= MIN_PAGES)
-                    .select("host", "run"), "boilerplate")
+    # one row of each of a host's pages, with the pages a repeat must be on
+    pages_of = stored(spark, rows.groupBy("host", "page").agg(F.min("row").alias("row"), F.max(F.size("open")).alias("open")), "different-pages")
+    hosts = pages_of.groupBy("host").agg(F.count("*").alias("n"), F.max("open").alias("open")).filter("open > 0").select(
+        "host", F.greatest(F.lit(MIN_PAGES), F.ceil(F.col("n") * SHARE)).alias("need"))
+    counted = stored(spark, pages_of.join(stored(spark, hosts, "hosts"), "host").select("row", "need"), "counted")
+    short = F.transform(F.filter("open", lambda o: o["run"].isNotNull()), lambda o: o["run"])
+    # intervals of the host's suffix array at depth RUN, and short blocks, that enough pages share
+    boiler = stored(spark, rows.select("row", "host", F.array_distinct(F.concat("runs", short)).alias("runs"))
+                    .join(small_side(counted, MAX_BROADCAST), "row").select("host", "need", F.explode("runs").alias("run"))
+                    .groupBy("host", "run").agg(F.count("*").alias("pages"), F.max("need").alias("need"))
+                    .filter(F.col("pages") >= F.col("need")).select("host", "run"), "boilerplate")
     # only blocks that structure leaves open are judged: their tokens are covered by the runs that touch them
     todo = rows.filter(F.size("open") > 0)
-    places = todo.select("row", "host", F.posexplode("runs").alias("at", "run"))
-    covered = (places.join(boiler, ["host", "run"]).select("row", F.explode(F.sequence(F.col("at"), F.col("at") + RUN - 1)).alias("token"))
+    places = todo.select("row", "host", F.posexplode("runs").alias("at", "run")).withColumn("n", F.lit(RUN)).unionByName(
+        todo.select("row", "host", F.explode("open").alias("o")).filter("o.run is not null").select("row", "host", "o.at", "o.run", "o.n"))
+    covered = (places.join(boiler, ["host", "run"]).select("row", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("token"))
                .distinct().groupBy("row").agg(F.collect_set("token").alias("covered")))
 
     def unique(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,7 +174,7 @@ def extract(spark: SparkSession, pages: DataFrame, id_col="page_id", url_col="ur
     kept = stored(spark, todo.select("row", "open").join(covered, "row", "left").mapInPandas(
         unique, "row long, kept array<struct<i:int,text:string>>"), "kept")
     every = F.array_sort(F.concat("main", F.coalesce("kept", F.array().cast("array<struct<i:int,text:string>>"))))
-    return rows.drop("open", "runs").join(kept, "row", "left").select("id", "url", F.array_join(every["text"], "\n").alias("text"))
+    return rows.drop("open", "runs", "page").join(kept, "row", "left").select("id", "url", F.array_join(every["text"], "\n").alias("text"))
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

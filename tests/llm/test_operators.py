@@ -280,6 +280,23 @@ def test_html_host_runs_decide_without_structure(spark):
     assert got == {**{i: f"page {i} has own words a{i} b{i} c{i}" for i in range(4)}, 9: "", 10: ""}
 
 
+def test_html_copied_pages_and_large_hosts_keep_their_prose(spark):
+    rnd = random.Random(2)
+    phrases = [" ".join(f"v{rnd.randrange(4000)}" for _ in range(4)) for _ in range(120)]
+    notice, short = "all offers end without any further word of ours", "call us any day"
+
+    def prose():
+        return " ".join(rnd.choice(phrases) + f" u{rnd.randrange(10 ** 9)}" for _ in range(12))
+
+    body = {i: prose() for i in range(90)}                                  # four-word phrases recur on other pages
+    pages = [(i, f"http://big.example/{i}", f"<div>{notice}</div><p>{t}</p><div>{short}</div><p>end u{i}</p>") for i, t in body.items()]
+    pages += [(100, "http://a.example/1", "<p>one page told here in its own ten plain words</p><p>and more of it below</p>")]
+    pages += [(101, "http://a.example/2", pages[-1][2]), (102, "http://b.example/", pages[-1][2]), (103, "http://b.example/", pages[-1][2])]
+    got = {r.id: r.text for r in html_extract.extract(spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    copied = "one page told here in its own ten plain words\nand more of it below"
+    assert got == {**{i: f"{t}\nend u{i}" for i, t in body.items()}, **dict.fromkeys(range(100, 104), copied)}
+
+
 def test_url_rules(spark):
     rows = [(1, "http://a.b.org/en/1x"), (2, "https://Example.ORG/en/14?q"), (3, "http://x.example.org/es/"), (4, "http://c.com/de/1"),
             (5, "http://c.com"), (6, None), (7, "no scheme"), (8, "http://myorg/"), (9, "http://c.com/fr/?x")]
