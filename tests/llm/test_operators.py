@@ -219,6 +219,26 @@ def test_quality_separates_labels(spark):
     assert sum(good) > 0.95 * len(good) and sum(bad) < 0.4 * len(bad)
 
 
+def test_quality_of_many_languages_and_whole_quantiles(spark):
+    rnd = random.Random(4)
+    letters = {f"l{k}": rnd.sample("abcdefghijklmnopqrstuvwxyz", 5) for k in range(11)}
+    rows = [(f"l{k}", " ".join("".join(rnd.choices(letters[f"l{k}"], k=5)) for _ in range(30))) for k in range(11) for _ in range(130 if k < 8 else 120)]
+    junk = [(lang, " ".join("".join(rnd.choices(letters["l0"], k=5)) for _ in range(30))) for lang in ("l8", "l9", "l10")]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows + junk)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(rows))], "doc_id long, quality int, toxic int")
+    model = quality.fit(spark, df, labels)
+    assert set(model.thresholds) == {*letters, quality.POOLED}
+    got = {r.id: r for r in quality.classify(spark, df, labels).collect()}
+    assert sum(got[i].accepted for i in range(len(rows))) > 0.95 * len(rows)
+    assert not any(got[len(rows) + i].accepted for i in range(len(junk)))
+    few = quality.fit(spark, df, labels, max_trusted=40, quantile=0.5)      # about 30 train a model, all others set its threshold
+    scored = df.filter(f"doc_id < {len(rows)}").withColumn("ppl", quality.scorer(spark, few)("text", "lang")).collect()
+    for lang, t in few.thresholds.items():
+        if lang != quality.POOLED:
+            share = np.mean([r.ppl <= t for r in scored if r.lang == lang])
+            assert 0.45 < share < 0.75
+
+
 def test_alignment():
     a = np.arange(10, 30).astype(np.uint64)
     assert decontaminate.align(a, a) == (40, 20)
