@@ -5,8 +5,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # small_data, whatever folder pytest is started from
 
 
 @pytest.fixture(scope="session")

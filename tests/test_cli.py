@@ -5,7 +5,7 @@ from shelfprice.plans import jobs
 from shelfprice.plans.queries import _land, reference_pages
 from shelfprice.sources.daily import read_daily
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_parser_requires_paths():

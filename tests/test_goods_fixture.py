@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfprice.constants import PAGE_SIZE
 from shelfprice.sources.goods import goods_pages
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_pages_bounded_and_ordered(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.sources.html_tables import first_table_cells, html_first_table
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_nation_per_region_round_trip(spark):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from shelfprice.plans.queries import QUERIES
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()

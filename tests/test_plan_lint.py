@@ -17,7 +17,7 @@ from shelfprice.plans.queries import _land, items_of, reference_pages
 from shelfprice.sources.html_tables import html_first_table
 from shelfprice.sources.landing import read_landed_pages
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "collect_list", "collect_set")

@@ -12,7 +12,7 @@ from shelfprice.sinks.files import read_csv, write_csv, write_daily
 from shelfprice.sources.daily import read_daily
 from shelfprice.sources.goods import LANDED_DS, land_goods
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def rows(df):

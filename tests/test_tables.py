@@ -5,7 +5,7 @@ import io
 
 from shelfprice.sources.tables import read_table
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_plain_scan_with_pushdown(spark):
