@@ -1,6 +1,6 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
-from . import (decontaminate, fingerprints, html_extract, jaccard_join, lm_score, mixing, quality, secrets,
+from . import (decontaminate, divergence, fingerprints, html_extract, jaccard_join, lm_score, mixing, quality, secrets,
                suffix_dedup, url_filter)
 
 QUERIES = {
@@ -14,10 +14,12 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_divergence": divergence.op11_divergence,
 }
 
 ORACLE_SQL = {
     "op3_jaccard_join": jaccard_join.ORACLE,
     "op4_url_filter": url_filter.ORACLE,
     "op10_mixing": mixing.oracle_sql(),
+    "op11_divergence": divergence.ORACLE,
 }
