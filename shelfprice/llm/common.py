@@ -27,7 +27,17 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read again: its lineage ends here."""
     path = scratch_path(spark, "llm", name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def drop_stored(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes what ``stored`` wrote for ``tables``, once nothing that is still to run reads them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for df in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:

@@ -1,6 +1,6 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
-from . import (decontaminate, divergence, fingerprints, html_extract, jaccard_join, lm_score, mixing, quality, secrets,
+from . import (decontaminate, divergence, fingerprints, html_extract, jaccard_join, lexical_search, lm_score, mixing, quality, secrets,
                suffix_dedup, url_filter)
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
     "op11_divergence": divergence.op11_divergence,
+    "op12_search": lexical_search.op12_search,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op4_url_filter": url_filter.ORACLE,
     "op10_mixing": mixing.oracle_sql(),
     "op11_divergence": divergence.ORACLE,
+    "op12_search": lexical_search.ORACLE,
 }
