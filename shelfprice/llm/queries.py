@@ -1,6 +1,6 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
-from . import (decontaminate, divergence, fingerprints, html_extract, jaccard_join, lexical_search, lm_score, mixing, quality, secrets,
+from . import (decontaminate, divergence, embedding_dedup, fingerprints, html_extract, jaccard_join, lexical_search, lm_score, mixing, quality, secrets,
                suffix_dedup, url_filter)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_divergence": divergence.op11_divergence,
     "op12_search": lexical_search.op12_search,
+    "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op10_mixing": mixing.oracle_sql(),
     "op11_divergence": divergence.ORACLE,
     "op12_search": lexical_search.ORACLE,
+    "op13_embedding_dedup": embedding_dedup.ORACLE,
 }
