@@ -38,8 +38,8 @@ from .common import stored, table
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"   # all that is no term: ASCII but its letters
 UNIT = 1_000_000_000
 MIN_DOCS, TOP = 10, 10
-SLICE_BYTES = 1 << 22          # texts that are counted at once
-HELD = 1 << 20                 # partial counts a task adds up before it passes them on
+SLICE_BYTES = 1 << 21          # texts that are counted at once
+HELD = 1 << 17                 # partial counts a task adds up before it passes them on
 SHARD_ROWS = 200_000           # kept counts in a shard
 SOURCE_BLOCK = 256             # sources whose divergences a shard adds up
 CELLS = 1 << 18                # terms by sources held at once
@@ -96,8 +96,11 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if rows > HELD:
                     yield from held[0].to_batches()
                     held, rows = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield from added(held).to_batches()
+    del held
+    pa.default_memory_pool().release_unused()
 
 
 def share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -203,7 +206,8 @@ def merge_shards(top: int):
 
 def kept_counts(spark: SparkSession, docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, source, term, n), stored: occurrences of the kept terms."""
-    counts = (docs.mapInArrow(count_terms, "lang string, source string, term string, n long, d long")
+    # one exchange, by what the window groups by, serves the sum as well: a term's partial counts are some for each task and source
+    counts = (docs.mapInArrow(count_terms, "lang string, source string, term string, n long, d long").repartition("lang", "term")
               .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d")))
     texts = F.sum("d").over(Window.partitionBy("lang", "term"))
     return stored(spark, counts.withColumn("texts", texts).filter(F.col("texts") >= min_docs).select("lang", "source", "term", "n"), "kept")
