@@ -26,9 +26,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections import deque
 from html.parser import HTMLParser
-from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -159,65 +157,117 @@ class _FirstTable(HTMLParser):
             self._pop()
 
 
-def _grid(rows):
-    """Rows of (is_th, text, rowspan, colspan) -> rows of texts, one by one, as the table model lays
-    them out: each cell goes to the first free slot of its row and fills its rectangle."""
-    ahead = deque()                    # slots already taken in this and the following rows
-    rows = iter(rows)
+def _runs(rows, extra: bool = True):
+    """Rows of (is_th, text, rowspan, colspan) as the table model lays them out, one by one: each cell goes to the first free
+    slot of its row and fills its rectangle.  A row is a list of runs (first slot, slot after the last, text).
+
+    What is held is one entry for each run of slots that cells of earlier rows still reach into, with the rows those end at;
+    of several cells over one slot the earliest shows until its rows end.  ``extra`` also gives the rows
+    that only spans reach.
+    """
+    open_runs, rows, n = [], iter(rows), 0                  # [first, stop, [(row after the last, text), ...]]
     while True:
         row = next(rows, None)
-        if row is None and not ahead:
+        open_runs = [[first, stop, live] for first, stop, cells in open_runs if (live := [c for c in cells if c[0] > n])]
+        if row is None and not (extra and open_runs):
             return
-        slots, col = (ahead.popleft() if ahead else {}), 0
+        at = 0                                              # runs before this one are taken without a gap
+        col = 0
         for _, text, rowspan, colspan in row or ():
-            while col in slots:
-                col += 1
-            while len(ahead) < rowspan - 1:
-                ahead.append({})
-            for c in range(col, col + colspan):
-                for below in (slots, *islice(ahead, rowspan - 1)):
-                    below.setdefault(c, text)
-        yield [slots.get(c) for c in range(max(slots, default=-1) + 1)]
-
-
-def first_table_cells(html: str | None):
-    """``(row_no, col_no, header, cell)`` tuples of the page's first table."""
+            while at < len(open_runs) and open_runs[at][0] <= col:
+                col = max(col, open_runs[at][1])
+                at += 1
+            stop, end, i = col + colspan, n + rowspan, at
+            first = col
+            while first < stop:
+                if i == len(open_runs) or open_runs[i][0] >= stop:       # free to the end
+                    open_runs.insert(i, [first, stop, [(end, text)]])
+                    first = stop
+                elif open_runs[i][0] > first:                            # free up to the next run
+                    open_runs.insert(i, [first, open_runs[i][0], [(end, text)]])
+                    first = open_runs[i][1]
+                else:                                                    # taken: shows once what is there ends
+                    run = open_runs[i]
+                    if run[1] > stop:
+                        open_runs.insert(i + 1, [stop, run[1], list(run[2])])
+                        run[1] = stop
+                    if end > run[2][-1][0]:
+                        run[2].append((end, text))
+                    first = run[1]
+                i += 1
+        yield [(first, stop, cells[0][1]) for first, stop, cells in open_runs]
+        n += 1
+
+
+def _header_runs(head) -> list[tuple[int, int, tuple]]:
+    """(first slot, slot after the last, texts from top to bottom): equal texts that follow each other count once."""
+    out, last = [], None
+    for row in _runs(head):
+        if row == last:                                     # only spans from above: nothing new
+            continue
+        last = row
+        edges = sorted({e for first, stop, _ in (*out, *row) for e in (first, stop)})
+        merged, i, j = [], 0, 0
+        for first, stop in zip(edges, edges[1:]):
+            while i < len(out) and out[i][1] <= first:
+                i += 1
+            while j < len(row) and row[j][1] <= first:
+                j += 1
+            parts = out[i][2] if i < len(out) and out[i][0] <= first else ()
+            text = row[j][2] if j < len(row) and row[j][0] <= first else ""
+            merged.append((first, stop, parts if not text or parts[-1:] == (text,) else (*parts, text)))
+        out = merged
+    return out
+
+
+def _slots(runs, width: int):
+    """The texts of ``width`` slots, null where no run is."""
+    at = 0
+    for first, stop, text in runs:
+        yield from (None for _ in range(at, first))
+        yield from (text for _ in range(first, stop))
+        at = stop
+    yield from (None for _ in range(at, width))
+
+
+def iterate_first_table(html: str | None):
+    """``(row_no, col_no, header, cell)`` tuples of the page's first table, one by one: what is held grows with the
+    page, not with the slots its spans cover."""
     if not html or "<table" not in html.lower():
-        return []
+        return
     p = _FirstTable()
     p.feed(html)
     p.close()
     if not p.done:
-        return []
+        return
     head = [r for s, r in p.rows if s == "thead"]
     body = [r for s, r in p.rows if s == "tbody"]
     foot = [r for s, r in p.rows if s == "tfoot"]
     if not head:
-        while body and body[0] and all(c[0] for c in body[0]):
-            head.append(body.pop(0))
-    head_t = list(_grid(head))
-    body_t = [r for r in (*_grid(body), *_grid(foot)) if r]  # a row without cells is blank
-    width = max([len(r) for r in head_t + body_t] or [0])
-    headers = []
-    for c in range(width):
-        parts = []
-        for r in head_t:
-            t = r[c] if c < len(r) else ""
-            if t and (not parts or parts[-1] != t):
-                parts.append(t)
-        headers.append(" / ".join(parts) or None)
-    out = []
-    for i, r in enumerate(body_t):
-        for c in range(width):
-            t = r[c] if c < len(r) else None
-            out.append((i, c, headers[c], t or None))
-    return out
+        ths = 0
+        while ths < len(body) and body[ths] and all(c[0] for c in body[ths]):
+            ths += 1
+        head, body = body[:ths], body[ths:]
+    # rows that only spans reach are no wider than those above
+    width = max((row[-1][1] for part in (head, body, foot) for row in _runs(part, extra=False) if row), default=0)
+    headers = [(first, stop, " / ".join(parts) or None) for first, stop, parts in _header_runs(head)]
+    row_no = 0
+    for part in (body, foot):
+        for row in _runs(part):
+            if row:                                         # a row without cells is blank
+                for c, (header, text) in enumerate(zip(_slots(headers, width), _slots(row, width))):
+                    yield row_no, c, header, text or None
+                row_no += 1
+
+
+def first_table_cells(html: str | None) -> list[tuple]:
+    return list(iterate_first_table(html))
 
 
 @udtf(returnType="row_no int, col_no int, header string, cell string", useArrow=True)
 class FirstHtmlTable:
     def eval(self, html: str | None):
-        yield from first_table_cells(html)
+        yield from iterate_first_table(html)
 
 
 def html_first_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -247,6 +297,61 @@ def cells_to_wide(cells: DataFrame, headers: list[str], id_col: str = "page_id")
     return cells.groupBy(id_col, "row_no").agg(*place, text.alias("more"))
 
 
+def _numbered(headers):
+    """(header, how many of the same came before) of an array of headers in order of place."""
+    return F.transform(headers, lambda h, i: F.struct(
+        F.coalesce(h, F.lit("")).alias("header"), F.size(F.filter(F.slice(headers, 1, i), lambda x: x.eqNullSafe(h))).alias("nth")))
+
+
+def discover_columns(cells: DataFrame, id_col: str = "page_id", max_columns: int = 1000) -> list[tuple[str, int]]:
+    """The columns that the tables themselves name, in order of place: (header, how many of the same come before it).
+
+    One pass over the header of every page (its first row carries all of it).  Equal headers of different pages
+    are one column, whatever their place; equal headers of one page are as many columns; a place without a header is the
+    column ''.  Of more than ``max_columns`` those of most pages are named; the cells of the others are not lost (``more``).
+    At most that many names come to the driver.
+    """
+    keys = [id_col] + (["DT"] if "DT" in cells.columns else [])
+    page = cells.filter("row_no = 0").groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("col_no", "header")))["header"].alias("headers"))
+    found = (page.select(F.posexplode(_numbered(F.col("headers"))).alias("place", "c")).groupBy("c.header", "c.nth")
+             .agg(F.count("*").alias("pages"), F.min("place").alias("place")))
+    rows = found.orderBy(F.desc("pages"), "place", "header", "nth").limit(max_columns).collect()
+    return [(r["header"], r["nth"]) for r in sorted(rows, key=lambda r: (r["place"], r["header"], r["nth"]))]
+
+
+def column_names(columns: list[tuple[str, int]], taken: list[str]) -> list[str]:
+    """A name for each column: its header, with a number where that is taken (``name``, ``name_2``), ``column`` without one."""
+    used, out = {t.lower() for t in taken}, []
+    for header, _ in columns:
+        name, n = header or "column", 2
+        while name.lower() in used:
+            name, n = f"{header or 'column'}_{n}", n + 1
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def cells_by_header(cells: DataFrame, columns: list[tuple[str, int]], id_col: str = "page_id") -> DataFrame:
+    """Long-form cells -> one row per (page, table row), one column per discovered column.
+
+    A cell goes to the column of its header, so pages whose columns stand in another order line up.  Cells of columns that
+    are not among ``columns`` are kept in ``more``, joined by " | " in order of place (null where there are none).
+    A column ``DT``, if there is one, is kept.
+    """
+    keys = [id_col, "row_no"] + (["DT"] if "DT" in cells.columns else [])
+    row = cells.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("col_no", "header", "cell"))).alias("cells"))
+    row = row.select(*keys, F.arrays_zip(_numbered(F.col("cells.header")).alias("c"), F.col("cells.cell").alias("cell")).alias("cells"))
+    row = row.withColumn("by", F.map_from_entries(F.transform("cells", lambda x: F.struct(
+        F.struct(x["c"]["header"].alias("header"), x["c"]["nth"].alias("nth")).alias("key"), x["cell"].alias("cell")))))
+    names = column_names(columns, [*keys, "more"])
+    known = F.array(*[F.struct(F.lit(h).alias("header"), F.lit(n).alias("nth")) for h, n in columns])
+    rest = F.filter("cells", lambda x: ~F.array_contains(known, x["c"])) if columns else F.col("cells")
+    more = F.when(F.size(rest) > 0, F.array_join(F.transform(rest, lambda x: x["cell"]), " | ", ""))
+    key = [F.struct(F.lit(h).alias("header"), F.lit(n).alias("nth")) for h, n in columns]
+    return row.select(id_col, "row_no", *[F.col("by")[k].alias(n) for k, n in zip(key, names)], more.alias("more"),
+                      *keys[2:])
+
+
 def pages_without_table(pages: DataFrame, cells: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Pages that yielded no cells (no table with text): ``(page_id, url)`` where present.
 

@@ -123,3 +123,49 @@ def test_salary_job_reports_pages_without_table(spark, scratch):
     assert [r.page_id for r in read_daily(spark, tables.salary).collect()] == [-1]
     missing = {r.page_id for r in read_daily(spark, tables.salary_missing).collect()}
     assert missing == {r.page_id for r in plain.select("page_id").collect()}
+
+
+def plain_grid(rows):
+    """The table model with a dictionary for every row."""
+    taken, n = {}, 0
+    while n < len(rows) or any(r >= n for r, _ in taken):
+        col = 0
+        for _, text, rowspan, colspan in rows[n] if n < len(rows) else ():
+            while (n, col) in taken:
+                col += 1
+            for r in range(n, n + rowspan):
+                for c in range(col, col + colspan):
+                    taken.setdefault((r, c), text)
+        row = {c: t for (r, c), t in taken.items() if r == n}
+        yield [row.get(c) for c in range(max(row, default=-1) + 1)]
+        n += 1
+
+
+def test_spans_equal_a_plain_grid():
+    import random
+
+    from shelfprice.sources.html_tables import _runs, _slots
+
+    rnd = random.Random(1)
+    for _ in range(500):
+        rows = [[(False, f"t{rnd.randrange(99)}", rnd.choice([1, 1, 2, 3, 5]), rnd.choice([1, 1, 2, 4])) for _ in range(rnd.randrange(5))]
+                for _ in range(rnd.randrange(6))]
+        assert [list(_slots(r, r[-1][1] if r else 0)) for r in _runs(rows)] == list(plain_grid(rows))
+
+
+def test_huge_spans_are_held_as_runs():
+    """65 million slots of one cell: rows come one by one, and memory does not grow with them."""
+    import tracemalloc
+    from itertools import islice
+
+    from shelfprice.sources.html_tables import iterate_first_table
+
+    page = "<table><tr><th>h</tr><tr><td rowspan=65534 colspan=1000>x</td><td>y</table>"
+    tracemalloc.start()
+    cells = list(islice(iterate_first_table(page), 998, 1004))
+    for _ in islice(iterate_first_table(page), 300_000):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cells == [(0, 998, None, "x"), (0, 999, None, "x"), (0, 1000, None, "y"), (1, 0, "h", "x"), (1, 1, None, "x"), (1, 2, None, "x")]
+    assert peak < 1 << 20
