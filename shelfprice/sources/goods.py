@@ -150,6 +150,40 @@ def land_goods(lineitem: DataFrame, path: str, fetched_at: str = FETCHED_AT) ->
     return path
 
 
+# The damaged landing: a store that was crawled to the middle, one whose first page says total 0, and
+# one left whole; of the others' pages one in seven is cut off, and one in seven has a total that is no number.
+UNFINISHED_STORE, ZERO_FIRST_STORE, WHOLE_STORE = "0238", "0179", "0091"
+DAMAGE_CYCLE, CUT_OFF, NO_NUMBER = 7, 3, 5
+
+
+def land_damaged_goods(lineitem: DataFrame, path: str) -> str:
+    """Lands ``goods_pages`` with broken and half-broken lines, an unfinished store and a first total of 0."""
+    pages = goods_pages(lineitem)
+    last = pages.groupBy("storeId").agg(F.max("offset").alias("last"))
+    store, page = F.col("storeId"), F.floor(F.col("offset") / PAGE_SIZE)
+    total = F.when((store == ZERO_FIRST_STORE) & (page == 0), F.lit(0)).otherwise(F.col("total"))
+    line = F.to_json(F.struct("storeId", "offset", "fetchedAt", total.alias("total"), "skus"))
+    no_number = F.to_json(F.struct("storeId", "offset", "fetchedAt", F.lit("unknown").alias("total"), "skus"))
+    damaged = (F.when((store != WHOLE_STORE) & (page % DAMAGE_CYCLE == CUT_OFF), F.expr("left(line, cast(length(line) / 2 as int))"))
+               .when((store != WHOLE_STORE) & (page % DAMAGE_CYCLE == NO_NUMBER), no_number).otherwise(F.col("line")))
+    kept = pages.join(last, "storeId").filter((store != UNFINISHED_STORE) | (F.col("offset") * 2 < F.col("last")))
+    kept.withColumn("line", line).select(damaged.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def damaged_pages_sql() -> str:
+    """DuckDB text of the damaged pages: (storeId, pn, kind, total, items, urls); needs ``items``."""
+    order = ", ".join(f"{c} nulls first" for c in GOODS_ORDER)
+    return f"""
+ranked as (select storeId, webUrl, (row_number() over (partition by storeId order by {order}) - 1) // {PAGE_SIZE} as pn from items),
+stores as (select storeId, cast(ceil(count(*) / {PAGE_SIZE}.0) as bigint) as last, count(distinct webUrl) as total from items group by storeId),
+listed as (select storeId, last, total, unnest(range(0, last + 1)) as pn from stores),
+pages as (select storeId, pn, case when storeId = '{ZERO_FIRST_STORE}' and pn = 0 then 0 else total end as total,
+    case when storeId <> '{WHOLE_STORE}' and pn % {DAMAGE_CYCLE} = {CUT_OFF} then 'broken'
+         when storeId <> '{WHOLE_STORE}' and pn % {DAMAGE_CYCLE} = {NO_NUMBER} then 'half' else 'whole' end as kind
+  from listed where storeId <> '{UNFINISHED_STORE}' or pn * 2 < last)"""
+
+
 def goods_sql(string_type: str = "varchar") -> str:
     """DuckDB (or Spark SQL) text of ``goods``: ``select ... from lineitem``."""
     S = string_type
