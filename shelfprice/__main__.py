@@ -1,7 +1,7 @@
 """Command line: one subcommand per daily job, for ``spark-submit`` or ``python -m shelfprice``.
 
     python -m shelfprice ingest    --landing L --base B --ds 2024-01-11
-    python -m shelfprice salary    --pages P   --base B --ds 2024-01-11 [--headers H1,H2]
+    python -m shelfprice salary    --pages P   --base B --ds 2024-01-11 [--wide | --headers H1,H2]
     python -m shelfprice aggregate --base B --ds 2024-01-11 [--dates D1,D2]
     python -m shelfprice publish   --base B --jdbc-url URL [--jdbc-driver ...] [--jdbc-user ...]
     python -m shelfprice daily     --landing L --pages P --base B --ds 2024-01-11 [--jdbc-url URL]
@@ -48,12 +48,14 @@ def parser() -> argparse.ArgumentParser:
         return s
 
     add("ingest", "landing", "base", "ds", "on-bad-page")
-    add("salary", "pages", "base", "ds", "headers")
+    sal = add("salary", "pages", "base", "ds", "headers")
     add("aggregate", "base", "ds", "dates")
     pub = add("publish", "base")
     daily = add("daily", "landing", "pages", "base", "ds", "dates", "on-bad-page", "headers")
     add("export", "landing", "out", "on-bad-page")
     add("stream", "landing", "base", "ds", "checkpoint", "csv-out")
+    for s in (sal, daily):
+        s.add_argument("--wide", action="store_true", help="one column for each header of the pages")
     for s in (pub, daily):
         s.add_argument("--jdbc-url", required=s is pub)
         s.add_argument("--jdbc-driver")
@@ -74,14 +76,14 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "ingest":
         jobs.ingest(spark, a.landing, tables, a.ds, on_bad_page=bad)
     elif a.cmd == "salary":
-        jobs.salary(spark.read.parquet(a.pages), tables, a.ds, headers=_list(a.headers))
+        jobs.salary(spark.read.parquet(a.pages), tables, a.ds, headers=_list(a.headers), wide=a.wide)
     elif a.cmd == "aggregate":
         jobs.aggregate(spark, tables, a.ds, dates=_list(a.dates))
     elif a.cmd == "publish":
         jobs.publish(spark, tables, _target(a))
     elif a.cmd == "daily":
         jobs.daily_run(spark, a.landing, spark.read.parquet(a.pages), tables, a.ds,
-                       target=_target(a), dates=_list(a.dates), on_bad_page=bad, headers=_list(a.headers))
+                       target=_target(a), dates=_list(a.dates), on_bad_page=bad, headers=_list(a.headers), wide=a.wide)
     elif a.cmd == "export":
         jobs.export_csv(spark, a.landing, a.out, on_bad_page=bad)
     elif a.cmd == "stream":

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ..constants import (ITEM_COLUMNS, PACK_SIZE_PATTERN, PRICED_CATEGORIES, STORE_CITY,
                          UNIT_HINTS, WHITESPACE_RUN_RE2, WINE_CATEGORY)
-from ..sources.goods import LANDED_DS, goods_items_sql
+from ..sources.goods import LANDED_DS, PAGE_SIZE, damaged_pages_sql, goods_items_sql
 from ..sources.reference_pages import reference_cells_sql
 
 
@@ -132,19 +132,28 @@ _KEPT_AVERAGES = _AVERAGES.replace(ITEMS, _KEPT).replace("from items where", "fr
 
 ORACLE_SQL.update({
     "landed_items": ITEMS + f"select {ITEM_LIST} from items",
-    "crawl_coverage": ITEMS + """
-select storeId, cast(ceil(count(*) / 24.0) as bigint) + 1 as pages,
-  cast(0 as bigint) as bad_lines, count(*) as items_seen,
-  count(distinct webUrl) as distinct_items, count(distinct webUrl) as total, true as complete
-from items group by storeId""",
+    "crawl_coverage": ITEMS + ", " + damaged_pages_sql() + """,
+seen as (select p.storeId, count(r.storeId) as items_seen, count(distinct r.webUrl) as distinct_items
+  from pages p left join ranked r on r.storeId = p.storeId and r.pn = p.pn where p.kind <> 'broken' group by p.storeId),
+found as (select storeId, count(*) as pages, count(*) filter (kind = 'half') as bad_lines,
+    arg_min(total, pn) filter (kind = 'whole' and total <> 0) as total
+  from pages where kind <> 'broken' group by storeId)
+select storeId, pages, bad_lines, items_seen, distinct_items, total, distinct_items >= total as complete from found join seen using (storeId)
+union all
+select null, count(*), count(*), 0, 0, null, null from pages where kind = 'broken' having count(*) > 0""",
+    "bad_lines": ITEMS + ", " + damaged_pages_sql() + f"""
+select storeId as line_store, pn * {PAGE_SIZE} as line_offset, case when kind = 'half' then storeId end as storeId,
+  case when kind = 'half' then pn * {PAGE_SIZE} end as "offset",
+  case when kind = 'half' then 'unreadable: total' else 'not JSON' end as reason, true as traced, {_DT}
+from pages where kind <> 'whole'""",
     "ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
     "stream_ingest_items": _KEPT + f"select {ITEM_LIST}, {_DT} from kept",
     "html_first_table": reference_cells_sql(),
     "pages_without_table": "select page_id, url from pages",
     "salary_tables": reference_cells_sql(f", {_DT}"),
     "salary_wide": f"""
-select page_id, row_no, max(cell) filter (col_no = 0) as id, max(cell) filter (col_no = 1) as url,
-  max(cell) filter (col_no = 2) as url_2, cast(null as varchar) as column_3, cast(null as varchar) as more, {_DT}
+select page_id, row_no, max(cell) filter (col_no = 0) as page_id_2, max(cell) filter (col_no = 1) as url,
+  max(cell) filter (col_no = 2) as chars, cast(null as varchar) as more, {_DT}
 from ({reference_cells_sql()}) group by page_id, row_no""",
     # the first copy of each day; the days are those of the price
     "multi_day_averages": _KEPT_AVERAGES.replace(

@@ -19,10 +19,11 @@ from ..operators.items import flatten_json, keep_first, project_items, with_stam
 from ..operators.prices import (keep_categories, keep_unit_hints, price_rows,
                                 with_pack_size, with_unit_prices)
 from ..operators.stores import with_city
+from ..schema import CORRUPT_COLUMN
 from ..session import path_exists, scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
-from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_goods
+from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_damaged_goods, land_goods
 from ..sources.html_tables import html_first_table, pages_without_table
 from ..sources.landing import read_landed_pages, write_landed_pages
 from ..sources.reference_pages import pages_with_table
@@ -124,7 +125,7 @@ def q_json_flatten(spark, sf_dir):
 
 # --- landing, sinks, jobs -----------------------------------------------------
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
 def _land(spark, sf_dir) -> str:
@@ -133,10 +134,19 @@ def _land(spark, sf_dir) -> str:
     Landing stands in for the crawler (input data, not an operator under
     test), so it is done once per application and scale factor and reused.
     """
-    key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
+    return _landed_once(spark, sf_dir, land_goods)
+
+
+def _land_damaged(spark, sf_dir) -> str:
+    """The same with broken and half-broken lines, an unfinished store and a first total of 0."""
+    return _landed_once(spark, sf_dir, land_damaged_goods)
+
+
+def _landed_once(spark, sf_dir, land) -> str:
+    key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"), land.__name__)
     path = _LANDED.get(key)
     if path is None or not path_exists(spark, path + "/_SUCCESS"):
-        path = land_goods(table(spark, sf_dir, "lineitem"), scratch_path(spark, "landing"))
+        path = land(table(spark, sf_dir, "lineitem"), scratch_path(spark, "landing"))
         _LANDED[key] = path
     return path
 
@@ -151,7 +161,18 @@ def q_landed_items(spark, sf_dir):
 
 
 def q_crawl_coverage(spark, sf_dir):
-    return crawl_coverage(read_landed_pages(spark, _land(spark, sf_dir)))
+    return crawl_coverage(read_landed_pages(spark, _land_damaged(spark, sf_dir)))
+
+
+def q_bad_lines(spark, sf_dir):
+    """The ledger of broken lines that ingest writes; what a line was is read from its own text."""
+    tables = jobs.Tables(scratch_path(spark, "tables"))
+    jobs.ingest(spark, _land_damaged(spark, sf_dir), tables, LANDED_DS)
+    line = F.col(CORRUPT_COLUMN)
+    return _dt_text(read_daily(spark, tables.bad_lines)).select(
+        F.regexp_extract(line, r'^\{"storeId":"(\d+)"', 1).alias("line_store"),
+        F.regexp_extract(line, r'"offset":(\d+)', 1).cast("long").alias("line_offset"),
+        "storeId", "offset", "reason", (F.col("source_file").isNotNull() & (F.col("line_no") > 0)).alias("traced"), "DT")
 
 
 def q_ingest_items(spark, sf_dir):
@@ -185,12 +206,9 @@ def q_daily_run(spark, sf_dir):
     return _dt_text(read_daily(spark, tables.unit_prices))
 
 
-WIDE_HEADERS = ["id", "url", "url", ""]     # equal names and none: columns stay apart
-
-
 def q_salary_wide(spark, sf_dir):
     tables = jobs.Tables(scratch_path(spark, "tables"))
-    jobs.salary(reference_pages(spark, sf_dir), tables, LANDED_DS, headers=WIDE_HEADERS)
+    jobs.salary(reference_pages(spark, sf_dir), tables, LANDED_DS, wide=True)
     return _dt_text(read_daily(spark, tables.salary_wide))
 
 
@@ -273,6 +291,7 @@ QUERIES: dict[str, QueryFn] = {
     "json_flatten": q_json_flatten,
     "landed_items": q_landed_items,
     "crawl_coverage": q_crawl_coverage,
+    "bad_lines": q_bad_lines,
     "ingest_items": q_ingest_items,
     "html_first_table": q_html_first_table,
     "pages_without_table": q_pages_without_table,

@@ -77,3 +77,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder on the cluster's file system; nothing happens if it is absent."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def list_path(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """(name, whether it is a folder, time of its last change) of what lies in a folder: one call, none if it is absent."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(), st.isDirectory(), st.getModificationTime()) for st in fs.listStatus(p)]
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file; that it exists is its content, so it appears whole or not at all."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, False).close()
