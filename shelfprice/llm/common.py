@@ -17,6 +17,7 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 CHUNK_BYTES = 1 << 17          # texts are hashed together up to this size: arrays stay in cache
 WORD = r"[^\x20\x09-\x0D]+"
+MAX_LEAST = 1_000_000          # rows of two longs that are broadcast
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,14 @@ def drop_stored(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it, that is no column of ``df`` (names are compared as Spark does, without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` (a stored table) marked for broadcast if it is counted to hold at most ``max_rows``
     rows; beyond that it is left to an ordinary shuffled join."""
@@ -166,24 +175,32 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             near = both.unionByName(flipped)
         else:                                    # every edge seen from its larger end
             near = both.filter("u > v").unionByName(flipped.filter("u > v"))
-        # stored, so that both sides of the join are plain shuffles and a hub's edges can be split
+        # stored, so that both sides of the join are plain shuffles and a hub's edges can be split, or the smaller is broadcast
         least = stored(spark, near.groupBy("u").agg(F.min("v").alias("m")), "least")
-        out = near.join(least, "u").select("u", "v", F.least("u", "m").alias("m"))
+        superseded.append(least)
+        out = near.join(small_side(least, MAX_LEAST), "u").select("u", "v", F.least("u", "m").alias("m"))
         if large:
-            return out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return (out.select(F.col("v").alias("a"), F.col("m").alias("b"))
-                .unionByName(out.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-
-    def tidy(e: DataFrame) -> DataFrame:
-        return stored(spark, e.filter("a != b").distinct(), "edges")
+            out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        else:
+            out = (out.select(F.col("v").alias("a"), F.col("m").alias("b"))
+                   .unionByName(out.select(F.col("u").alias("a"), F.col("m").alias("b"))))
+        return out.filter("a != b")
+
+    def step(df: DataFrame, name: str) -> DataFrame:
+        out = stored(spark, df, name)
+        while superseded:
+            drop_stored(spark, superseded.pop())
+        superseded.append(out)
+        return out
 
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    e = tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    superseded: list[DataFrame] = []
+    e = step(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
     before = mark(e)
     while before[0]:
-        e = tidy(star(tidy(star(e, True)), False))
+        e = step(star(step(star(e, True), "large"), False).distinct(), "edges")
         after = mark(e)
         if after == before:
             break

@@ -2,24 +2,27 @@
 
 Universe partition with pigeonhole.  Sets are put into bands by size, so that linked sets lie in
 the same or neighbouring bands.  In a band whose sets differ in at most H shingles when linked, the
-universe of shingles is hashed into H + 1 segments: at least one segment must agree.  A signature
-is a segment's subset, hashed; equal signatures make candidates.  Allocation by cost: a segment whose
-equal subsets cost more pairs than its neighbours is skipped, and in exchange the cheapest one is
-indexed with its one-deletion neighbourhood (all subsets short of one shingle), which covers a
-difference of one there and keeps the pigeonhole sum at H + 1.
+universe of shingles is hashed into H + 1 + Z segments: at least Z + 1 of them agree.  A signature
+is a segment's subset, hashed; equal signatures make candidates.  Empty subsets, which many sets share,
+are indexed only by sets with more than Z of them: any other linked pair agrees in one that is not empty.
+Allocation by cost: a segment whose equal subsets make more pairs than the rows of an exchange is skipped,
+and a cheap one is indexed with its one-deletion neighbourhood (all subsets short of one shingle) instead, which
+covers a difference of one there.  With k exchanges some segments still agree (``Bands.agreeing``), and the rule for
+empty subsets uses that number.
 
 1. Equal sets are one class, with one representative text; a class is linked as a whole.
-2. Signatures of the classes are grouped; those that occur once go.
-3. Every member is compared with the first of its group, verified exactly, and the links give
-   components.
-4. In groups that still hold several components every member is compared with HUBS more, of other
-   components, and verified alike.  Components are named anew.
-5. Groups that even then hold several components are compared in blocks, members of different
-   components only, and what passes is verified exactly.  So a group of near copies costs as many
-   comparisons as it has members, unless its members really are apart.
-
-Comparisons first use a sketch (shingle counts by hash cell; their distance never exceeds the
-sets' difference), so no linked pair is lost; verification intersects whole shingle sets.
+2. Each task groups its signatures: members of a group keep a row that points to the group's first class, and only
+   that one goes on, so that a signature many sets share is a few rows for each task when it is shuffled.
+   Groups then point to their first class over all tasks in the same way.  What points nowhere goes.
+3. Every class is compared with the one it points to most often, links are verified, and of the other pointers only
+   those are compared that still join different ones.  The links give components.
+4. Groups that then hold several components are open.  Members of large ones are compared with HUBS more.  Members of
+   open groups are compared in blocks, first each with the nearest of every other component, then, in what is still open,
+   all with all of other components; what may be linked is verified exactly.
+
+Comparisons first use a sketch, one bit for each of BITS cells that says whether an odd number of the set's shingles fall
+there: sketches never differ in more bits than the sets do in shingles, so no linked pair is lost, and at the
+similarities asked for hardly any other pair is left.  Verification intersects whole shingle sets.
 Shingles are compared by 64-bit hashes.
 
 Defined results: words are as in ``common``; a text with fewer words than a shingle is one
@@ -30,21 +33,24 @@ id stay apart rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import (Hasher, U, Words, chunks, components, mix64, shingle_hashes, small_side, stored, table)
+from .common import (Hasher, U, Words, chunks, components, drop_stored, mix64, new_name, shingle_hashes, small_side, stored, table)
 
-CELLS = 128                    # of the sketch
-BLOCK = 256                    # members compared at once
-HUBS = 8                       # members of an open group that all others are compared with
+BITS = 2048                    # of the sketch
+BLOCK = 1024                   # members compared at once
+HUBS = 4                       # members of a large open group that all others are compared with
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
+HELD = 1 << 20                 # signatures a task groups at once
 SEGMENT_BITS, HASH_BITS = 17, 40
 PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature
-DELETION_FACTOR = 2            # pairs that a one-deletion neighbourhood adds, over the equal ones
+DELETION_FACTOR = 2            # pairs that a one-deletion neighbourhood adds, over the rows it takes
 
 
 class Bands:
@@ -63,13 +69,28 @@ class Bands:
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.high, size))
 
+    def differing(self, band: int) -> int:
+        """H: linked sets r, s differ in at most (100 - p)(|r| + |s|) / (100 + p) shingles."""
+        return (100 - self.percent) * 2 * self.high[band] // (100 + self.percent)
+
     def segments(self, band: int) -> int:
-        """H + 1: linked sets r, s differ in at most (100 - p)(|r| + |s|) / (100 + p) shingles."""
-        return (100 - self.percent) * 2 * self.high[band] // (100 + self.percent) + 1
+        """H + 1, and Z more for the empty ones that the smallest sets of the band are likely to have."""
+        m, least = self.differing(band) + 1, self.low[band] * self.percent / 100
+        empty = m * math.exp(-least / m)
+        return m + (math.ceil(empty + 2 * math.sqrt(empty)) if least >= 20 else 0)
+
+    def agreeing(self, band: int, exchanges: int) -> int:
+        """Segments that agree at least in linked sets; differences cost a plain segment 1, one with its neighbourhood 2."""
+        plain, h = self.segments(band) - 2 * exchanges, self.differing(band)
+        return plain - h + exchanges if h < plain else exchanges - (h - plain) // 2
+
+    def of_column(self, n):
+        """Band of a column of sizes."""
+        return F.size(F.filter(F.array(*map(F.lit, self.high)), lambda x: x < n))
 
 
 def sketch(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> U(20)).astype(np.int64) % CELLS, minlength=CELLS), 255).astype(np.uint8).tobytes()
+    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % BITS, minlength=BITS) & 1).tobytes()
 
 
 def sums_by(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -87,7 +108,7 @@ def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None =
     """Signatures of a set in its own band and the next: band, segment and the subset's hash."""
     out, b0 = [], bands.of(len(s))
     for band in (b0, b0 + 1):
-        if only is not None and band not in only:
+        if not len(s) or only is not None and band not in only:
             continue
         m = bands.segments(band)
         segment = ((mix64(s + U(band + 1)) >> U(11)) % U(m)).astype(np.int64)
@@ -96,7 +117,13 @@ def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None =
         head = (U(band) << U(SEGMENT_BITS + HASH_BITS)) | ((np.arange(m, dtype=np.uint64) & U((1 << SEGMENT_BITS) - 1)) << U(HASH_BITS))
         cut = U(64 - HASH_BITS)
         skipped, deleted = allocation.get(band, ((), ()))
-        out.append(np.delete(head | (mix64(subset) >> cut), list(skipped)) if skipped else head | (mix64(subset) >> cut))
+        indexed = np.ones(m, bool)
+        empty = np.bincount(segment, minlength=m) == 0
+        if empty.sum() < bands.agreeing(band, len(deleted)):
+            indexed = ~empty
+            indexed[list(deleted)] = True
+        indexed[list(skipped)] = False
+        out.append((head | (mix64(subset) >> cut))[indexed])
         if deleted:
             inside = np.isin(segment, list(deleted))
             out.append(head[segment[inside]] | (mix64(subset[segment[inside]] - values[inside]) >> cut))
@@ -144,228 +171,326 @@ def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return docs.join(want, (F.col("text_key") == F.col("want")) & F.col("id").eqNullSafe(F.col("want_id"))).select("class", "text")
 
 
-def signature_rows(texts: DataFrame, k: int, bands: Bands, allocation: dict, only=None) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(fold=True)
-        for b in batches:
-            for first, held in chunks(b["text"]):
-                sigs = [signatures(s, bands, allocation, only) for s in text_sets(held, hasher, k)]
-                ids = b["class"].to_numpy()[first:first + len(held)]
-                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64),
-                                    "class": np.repeat(ids, [len(x) for x in sigs])})
-
-    return texts.mapInPandas(run, "sig long, class long")
+def first_of_group(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sig, class, first class of its group, whether it is that one), ordered by sig and class."""
+    order = np.lexsort((cls, sig))
+    sig, cls = sig[order], cls[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = sig[1:] != sig[:-1]
+    return sig, cls, cls[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))], new
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """Rows whose signature occurs in several classes, with how many (copies of a row count once)."""
-    group = Window.partitionBy("sig")
-    return (rows.withColumn("least", F.min("class").over(group)).withColumn("most", F.max("class").over(group))
-            .withColumn("c", F.count("*").over(group)).filter("least < most").drop("least", "most"))
+def pointers(texts: DataFrame, k: int, bands: Bands, allocation: dict, only=None) -> DataFrame:
+    """(sig, class, hub): members of groups of equal signatures, and a smaller class of the group; a group is one tree of them."""
+    def grouped(sig: np.ndarray, cls: np.ndarray) -> pd.DataFrame:
+        sig, cls, hub, first = first_of_group(sig.view(np.int64), cls)
+        use = first | (cls != hub)
+        return pd.DataFrame({"sig": sig[use], "class": cls[use], "hub": hub[use]})
 
-
-def allocate(members: DataFrame, classes: DataFrame, bands: Bands) -> dict:
+    def within_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher, sigs, classes, size = Hasher(fold=True), [], [], 0
+        for b in batches:
+            for first, held in chunks(b["text"]):
+                for s, c in zip(text_sets(held, hasher, k), b["class"].to_numpy()[first:first + len(held)]):
+                    sigs.append(signatures(s, bands, allocation, only))
+                    classes.append(np.full(len(sigs[-1]), c))
+                    size += len(sigs[-1])
+                    if size >= HELD:
+                        yield grouped(np.concatenate(sigs), np.concatenate(classes))
+                        sigs, classes, size = [], [], 0
+        if sigs:
+            yield grouped(np.concatenate(sigs), np.concatenate(classes))
+
+    def over_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In order of sig and class: rows that point elsewhere stay, the others point to the first of their group."""
+        last_sig = last_hub = None
+        for b in batches:
+            sig, cls, hub = (b.column(c).to_numpy() for c in ("sig", "class", "hub"))
+            at = np.flatnonzero(cls == hub)
+            s, c = sig[at], cls[at]
+            new = np.ones(len(at), bool)
+            new[1:] = s[1:] != s[:-1]
+            h = c[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else c
+            if len(at) and s[0] == last_sig:              # the group that the last batch ended in
+                h = np.where(s == last_sig, last_hub, h)
+            if len(at):
+                last_sig, last_hub = s[-1], h[-1]
+            hub = hub.copy()
+            hub[at] = h
+            use = cls != hub
+            yield pa.RecordBatch.from_arrays([pa.array(sig[use]), pa.array(cls[use]), pa.array(hub[use])], ["sig", "class", "hub"])
+
+    kind = "sig long, class long, hub long"
+    rows = texts.mapInPandas(within_task, kind)
+    first = F.col("class") == F.col("hub")                # others need not meet their group
+    return (rows.repartition(F.when(first, F.col("sig")).otherwise(F.xxhash64("class")))
+            .sortWithinPartitions("sig", "class").mapInArrow(over_tasks, kind))
+
+
+def allocate(spark: SparkSession, members: DataFrame, classes: DataFrame, bands: Bands) -> dict:
     """band -> (skipped segments, one-deletion segments), where the exchange costs less.
 
-    One row per segment and band comes to the driver: as many as the largest set has shingles,
-    about ten times over, whatever the number of texts.
+    One row for each band, of which there are some dozens, and one for each segment that costs more than an
+    exchange come to the driver.
     """
-    per = F.shiftrightunsigned("sig", HASH_BITS)
-    rows = members.groupBy(per.alias("cell")).agg(F.sum((F.col("c") - 1) / 2).alias("pairs")).collect()
-    sizes = {r["n"]: r["t"] for r in classes.groupBy("n").agg(F.count("*").alias("t")).collect()}
+    emitted = {}
+    for r in classes.groupBy(bands.of_column(F.col("n")).alias("band")).agg(F.sum("n").alias("n")).collect():
+        for band in (r["band"], r["band"] + 1):
+            emitted[band] = emitted.get(band, 0.0) + ROW_COST * r["n"]
+    if not emitted:
+        return {}
+    limit = spark.createDataFrame([(b, (1 + DELETION_FACTOR) * n / bands.segments(b)) for b, n in emitted.items()], "band long, least double")
+    cell = F.shiftrightunsigned("sig", HASH_BITS)
+    groups = members.groupBy("sig").agg(F.count("*").alias("c"))
+    cells = (groups.groupBy(cell.alias("cell")).agg((F.sum(F.col("c") * (F.col("c") + 1)) / 2 * PAIR_COST).alias("pairs"))
+             .withColumn("band", F.shiftrightunsigned("cell", SEGMENT_BITS)))
+    hot: dict[int, list] = {}
+    for r in cells.join(F.broadcast(limit), "band").filter(F.col("pairs") > F.col("least")).orderBy(F.desc("pairs"), "cell").collect():
+        hot.setdefault(r["band"], []).append(int(r["cell"] & ((1 << SEGMENT_BITS) - 1)))
     out = {}
-    costs: dict[int, dict[int, float]] = {}
-    for r in rows:
-        costs.setdefault(r["cell"] >> SEGMENT_BITS, {})[r["cell"] & ((1 << SEGMENT_BITS) - 1)] = PAIR_COST * r["pairs"]
-    for band, known in costs.items():
+    for band, segments in hot.items():
         m = bands.segments(band)
-        if m < 2 or m > 1 << SEGMENT_BITS:
+        if m > 1 << SEGMENT_BITS:
             continue
-        emitted = ROW_COST * sum(t * n for n, t in sizes.items() if bands.of(n) in (band, band - 1)) / m
-        cost = np.array([known.get(i, 0.0) for i in range(m)])
-        order = np.argsort(-cost, kind="stable")
-        skipped, deleted = [], []
-        for hot, cool in zip(order[:m // 2], order[::-1]):
-            if cost[hot] <= emitted + DELETION_FACTOR * cost[cool]:
-                break
-            skipped.append(int(hot))
-            deleted.append(int(cool))
-        if skipped:
-            out[band] = (tuple(skipped), tuple(deleted))
+        cool = [i for i in range(m) if i not in set(segments)] + segments[::-1]
+        n = min(len(segments), m // 2)
+        if n:
+            out[band] = (tuple(segments[:n]), tuple(cool[:n]))
     return out
 
 
-def may_link(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches allow a link: their distance is at most the sets' difference."""
-    d = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(-1)
-    return (100 + percent) * d <= (100 - percent) * (na + nb)
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
 
 
-def sketch_array(col) -> np.ndarray:
-    return np.frombuffer(b"".join(col), np.uint8).reshape(-1, CELLS)
+def may_link(bits: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes whose sketches differ in so many bits can be linked."""
+    return (100 + percent) * bits <= (100 - percent) * (na + nb)
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def sketch_array(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITS // 64)
+
+
+def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches allow a link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ok = may_link(sketch_array(b["sketch"]), b["n"].to_numpy(), sketch_array(b["hub_sketch"]), b["hub_n"].to_numpy(), percent)
-            yield b.loc[ok, ["a", "b"]]
+            bits = differing_bits(sketch_array(b["sketch"]), sketch_array(b["other_sketch"])) if len(b) else np.zeros(0, np.int64)
+            yield b.loc[may_link(bits, b["n"].to_numpy(), b["other_n"].to_numpy(), percent), ["a", "b"]]
+
+    one = classes.select(F.col("class").alias("b"), "n", "sketch")
+    two = classes.select(F.col("class").alias("a"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"))
+    return (pairs.join(one, "b").join(two, "a")
+            .filter(F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent).mapInPandas(run, "a long, b long"))
 
-    one = sketches.select(F.col("class").alias("b"), "n", "sketch")
-    two = sketches.select(F.col("class").alias("a"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
-    return pairs.join(one, "b").join(two, "a").mapInPandas(run, "a long, b long")
 
+def set_rows(texts: DataFrame, k: int) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher(fold=True)
+        for b in batches:
+            for first, held in chunks(b["text"]):
+                yield pd.DataFrame({"class": b["class"].to_numpy()[first:first + len(held)],
+                                    "set": [s.tobytes() for s in text_sets(held, hasher, k)]})
+    return texts.mapInPandas(run, "class long, set binary")
+
+
+def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The stored pairs (a, b) whose sets are linked, by intersection of whole sets, stored.
+
+    The set of b is cut from its text beside the pair and goes to that of a, once for each pair.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("sa"), batch.column("sb")):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def sets(column: str, name: str) -> DataFrame:
+        some = pairs.select(F.col(column).alias("class")).distinct()
+        wanted = stored(spark, classes.select("class", "text_key", "id").join(some, "class"), "wanted")
+        return set_rows(class_texts(docs, wanted), k).select(F.col("class").alias(column), F.col("set").alias(name))
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a group with the group's first class."""
-    group = Window.partitionBy("sig")
-    hub = members.withColumn("hub", F.min("class").over(group))
-    return hub.filter("class > hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    beside = sets("b", "sb").join(small_side(pairs, MAX_BROADCAST), "b")
+    return stored(spark, beside.join(sets("a", "sa"), "a").mapInArrow(run, "a long, b long"), "links")
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a group with those of another component among its hubs, which are the
+    """(a, b): members of a large group with those of another component among its hubs, which are the
     members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
     h = F.xxhash64("class")
-    hubs = (members.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
+    large = members.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > BLOCK)
+    rows = members.join(large.select("sig"), "sig")
+    hubs = (rows.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
             .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
             .select("sig", F.col("hub.class").alias("hub"), F.col("hub.component").alias("hub_component")))
-    return (members.join(hubs, "sig").filter("component != hub_component")
+    return (rows.join(hubs, "sig").filter("component != hub_component")
             .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
 
 
 def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """``members`` with their component, of the groups that hold several."""
-    marked = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
-    groups = marked.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    return marked.join(groups.select("sig"), "sig")
-
-
-def block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of one group but different components that may be linked, by pairs of blocks."""
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("class"), blocks).cast("int")
-    m = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    """(sig, class, component): members of the groups that hold several components, which one of their pointers joins."""
+    def part(column: str, name: str) -> DataFrame:
+        return small_side(parts, MAX_BROADCAST).select(F.col("node").alias(column), F.col("component").alias(name))
+
+    marked = (members.join(part("class", "p"), "class", "left").join(part("hub", "q"), "hub", "left")
+              .select("sig", "class", "hub", F.coalesce("p", "class").alias("p"), F.coalesce("q", "hub").alias("q")))
+    rows = marked.join(marked.filter("p != q").select("sig").distinct(), "sig")
+    return (rows.select("sig", "class", F.col("p").alias("component"))
+            .unionByName(rows.select("sig", F.col("hub").alias("class"), F.col("q").alias("component"))).distinct())
+
+
+def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(a, b) of one group but different components that may be linked, by pairs of blocks.
+
+    With ``nearest`` only those of least distance, for each member and other component of a pair of blocks.
+    """
+    sizes = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    m = members.join(sizes, "sig").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = m.select("sig", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
                      "mine", "class", "component", "n", "sketch")
 
     def compare(b: pd.DataFrame) -> pd.DataFrame:
-        """Pairs within whole tiles, which lie one after another: rows d apart, for every d, all at once."""
-        tile = np.cumsum(np.concatenate([[0], (b[["sig", "x", "y"]].to_numpy()[1:] != b[["sig", "x", "y"]].to_numpy()[:-1]).any(1)]))
+        """Pairs within one tile, a row of it against all that follow."""
         mine, key, part, n = (b[c].to_numpy() for c in ("mine", "class", "component", "n"))
-        cross, sketches, out = (b["x"] != b["y"]).to_numpy(), sketch_array(b["sketch"]), []
-        i = np.arange(len(b))
-        for d in range(1, len(b)):
-            i = i[i + d < len(b)]
-            i = i[tile[i] == tile[i + d]]
-            if not len(i):
-                break
-            j = i + d
-            ok = (part[i] != part[j]) & (~cross[i] | (mine[i] != mine[j]))
-            ok &= np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
-            p, q = i[ok], j[ok]
-            ok = may_link(sketches[p], n[p], sketches[q], n[q], percent)
-            out.append((np.minimum(key[p[ok]], key[q[ok]]), np.maximum(key[p[ok]], key[q[ok]])))
+        cross, sketches, out = b["x"].iloc[0] != b["y"].iloc[0], sketch_array(b["sketch"]), []
+        for i in range(len(b) - 1):
+            j = np.flatnonzero((part[i + 1:] != part[i]) & (np.minimum(n[i + 1:], n[i]) * 100 >= percent * np.maximum(n[i + 1:], n[i]))) + i + 1
+            if cross:
+                j = j[mine[j] != mine[i]]
+            bits = differing_bits(sketches[j], sketches[i])
+            ok = may_link(bits, n[i], n[j], percent)
+            if ok.any():
+                out.append((np.full(ok.sum(), i), j[ok], bits[ok]))
         if not out:
             return pd.DataFrame({"a": key[:0], "b": key[:0]})
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([x for _, x in out])}).drop_duplicates()
+        i, j, bits = (np.concatenate(x) for x in zip(*out))
+        if nearest:
+            both = pd.DataFrame({"one": np.concatenate([i, j]), "part": np.concatenate([part[j], part[i]]), "bits": np.tile(bits, 2),
+                                 "row": np.tile(np.arange(len(i)), 2)}).sort_values(["one", "part", "bits", "row"])
+            use = np.unique(both.drop_duplicates(["one", "part"])["row"])
+            i, j = i[use], j[use]
+        return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])})
+
+    def solve(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        tile = b[["sig", "x", "y"]].to_numpy()
+        edges = np.flatnonzero((tile[1:] != tile[:-1]).any(1)) + 1
+        for s, e in zip([0, *edges], [*edges, len(b)]):
+            yield compare(b.iloc[s:e])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None                                    # the tile that the last batch ended in
         for b in batches:
             b = b if held is None else pd.concat([held, b], ignore_index=True)
+            if not len(b):
+                continue
             last = (b[["sig", "x", "y"]] != b[["sig", "x", "y"]].iloc[-1]).any(axis=1).to_numpy()
             edge = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
             if edge:
-                yield compare(b.iloc[:edge])
+                yield from solve(b.iloc[:edge])
             held = b.iloc[edge:]
         if held is not None and len(held):
-            yield compare(held)
+            yield from solve(held)
 
     return (tiles.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
             .mapInPandas(run, "a long, b long").distinct())
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets are linked: exact intersection of whole shingle sets."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b["sa"], b["sb"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.loc[ok, ["a", "b"]]
-
-    one = sets.select(F.col("class").alias("a"), F.col("set").alias("sa"))
-    two = sets.select(F.col("class").alias("b"), F.col("set").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
-
-
-def set_rows(texts: DataFrame, k: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(fold=True)
-        for b in batches:
-            for first, held in chunks(b["text"]):
-                yield pd.DataFrame({"class": b["class"].to_numpy()[first:first + len(held)],
-                                    "set": [s.tobytes() for s in text_sets(held, hasher, k)]})
-    return texts.mapInPandas(run, "class long, set binary")
-
-
 def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b, ...): enough verified links between classes to connect all that are linked."""
+    """(node, component), stored: classes that are linked, by enough verified links."""
     largest = classes.agg(F.max("n")).first()[0] or 1
     bands = Bands(percent, largest)
     texts = class_texts(docs, classes)
-    members = stored(spark, shared(signature_rows(texts, k, bands, {})), "members")
-    allocation = allocate(members, classes, bands)
+    members = stored(spark, pointers(texts, k, bands, {}), "members")
+    allocation = allocate(spark, members, classes, bands)
     if allocation:
         again = set(allocation)
         band = F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)
-        fresh = shared(signature_rows(texts, k, bands, allocation, again))
-        members = stored(spark, members.filter(~band.isin(*again)).unionByName(fresh), "members-again")
-    in_groups = stored(spark, members.select("class").distinct().join(classes, "class").select("class", "text_key", "id"), "in-groups")
-    sets = stored(spark, set_rows(class_texts(docs, in_groups), k), "sets")
-    sketches = stored(spark, members.select("class").distinct().join(classes, "class").select("class", "n", "sketch"), "sketches")
-    edges = stored(spark, verified(likely(star_pairs(members), sketches, percent), sets, percent), "star-links")
-    parts = stored(spark, components(spark, edges), "star-components")
-    rest = stored(spark, open_members(members, parts).select("sig", "class", "component"), "open-members")
-    hub_edges = stored(spark, verified(likely(hub_pairs(rest), sketches, percent), sets, percent), "hub-links")
-    if not hub_edges.isEmpty():
-        edges = edges.unionByName(hub_edges)
-        parts = stored(spark, components(spark, edges), "hub-components")
-    rest = stored(spark, open_members(members, parts), "still-open")
-    more = stored(spark, verified(block_pairs(rest.join(sketches, "class"), percent), sets, percent), "block-links")
-    return edges.unionByName(more)
+        fresh = stored(spark, members.filter(~band.isin(*again)).unionByName(pointers(texts, k, bands, allocation, again)), "members-again")
+        drop_stored(spark, members)
+        members = fresh
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return verified(spark, stored(spark, likely(pairs, classes, percent), "likely"), docs, classes, k, percent)
+
+    # every class with the one it points to most often
+    pairs = stored(spark, members.groupBy("class", "hub").agg(F.count("*").alias("c")), "pointers")
+    best = stored(spark, pairs.groupBy("class").agg(F.max(F.struct("c", (-F.col("hub")).alias("order"), "hub")).alias("x"))
+                  .select("class", F.col("x.hub").alias("hub")), "best")
+    edges = verify(best.select(F.col("hub").alias("a"), F.col("class").alias("b")))
+    # the other pointers, where two steps along those links do not end at one class
+    up = edges.select(F.col("b").alias("node"), F.col("a").alias("parent"))
+    above = up.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
+    ends = stored(spark, up.join(small_side(above.select("parent", "grand"), MAX_BROADCAST), "parent", "left").select(
+        "node", F.coalesce("grand", "parent").alias("end")), "ends")
+
+    def end_of(column: str, name: str) -> DataFrame:
+        return small_side(ends, MAX_BROADCAST).select(F.col("node").alias(column), F.col("end").alias(name))
+
+    others = (pairs.join(best.select("class", F.col("hub").alias("tried")), "class").filter("hub != tried")
+              .join(end_of("class", "p"), "class", "left").join(end_of("hub", "q"), "hub", "left")
+              .filter(F.coalesce("p", "class") != F.coalesce("q", "hub")).select(F.col("hub").alias("a"), F.col("class").alias("b")))
+    edges = edges.unionByName(verify(others))
+    parts = stored(spark, components(spark, edges), "components")
+
+    def still_open() -> DataFrame:
+        return stored(spark, open_members(members, parts), "open")
+
+    rest = still_open()
+    sketches = classes.select("class", "n", "sketch")
+    for step in (lambda: hub_pairs(rest), lambda: block_pairs(rest.join(sketches, "class"), percent, True),
+                 lambda: block_pairs(rest.join(sketches, "class"), percent, False)):
+        if rest.isEmpty():
+            break
+        more = stored(spark, step(), "open-pairs")
+        if more.isEmpty():
+            continue
+        links = verify(more)
+        if not links.isEmpty():
+            edges = edges.unionByName(links)
+            parts = stored(spark, components(spark, edges), "components")
+            drop_stored(spark, rest)
+            rest = still_open()
+    return parts
 
 
 def join_components(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", shingle=5,
                     percent=80) -> DataFrame:
-    """(id, n_shingles, component_id, k1, k2): the component of every row; k1, k2 name equal sets."""
+    """(id, text_key, n_shingles, component_id, component): the component of every row and its number, null for empty sets."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     d = stored(spark, describe(rows, shingle), "described")
     # one text per class; partial aggregates shrink groups of copies before they are shuffled
     classes = stored(spark, d.filter("n > 0").groupBy("k1", "k2", "n").agg(
         F.min(F.struct("text_key", "id")).alias("row"), F.min("id").alias("first_id"), F.first("sketch").alias("sketch"))
         .select("k1", "k2", "n", "row.*", "first_id", "sketch").withColumn("class", F.monotonically_increasing_id()), "classes")
-    edges = stored(spark, link_classes(spark, rows, classes, shingle, percent), "links")
-    parts = stored(spark, components(spark, edges), "components")
-    linked = classes.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
-    least = stored(spark, linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "least")
-    named = stored(spark, linked.join(least, "component").select("k1", "k2", "component_id"), "named")
-    return (d.join(named, ["k1", "k2"], "left")
-            .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), "k1", "k2"))
+    parts = link_classes(spark, rows, classes, shingle, percent)
+    linked = classes.select("k1", "k2", "class", "first_id").join(
+        small_side(parts.withColumnRenamed("node", "class"), MAX_BROADCAST), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = stored(spark, linked.join(least, "component").select("k1", "k2", "component", "component_id"), "named")
+    return (d.drop("sketch").join(named, ["k1", "k2"], "left")
+            .select("id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), "component"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", shingle=5, percent=80) -> DataFrame:
-    """``docs`` with one document of each group: the one whose id is the component's.  Rows without
-    an id stay; of several rows with the group's id all stay."""
-    c = join_components(spark, docs, id_col, text_col, shingle, percent)
-    gone = stored(spark, c.filter("id is not null and id != component_id").select(F.col("id").alias("gone_id")).distinct(), "gone")
-    return docs.join(small_side(gone, MAX_BROADCAST), F.col(id_col) == F.col("gone_id"), "left_anti")
+    """``docs`` with exactly one row of each group: of those with the least id, or without one if all are, the one of least
+    text hash; of rows that are equal in both one, whichever.  Rows without words all stay."""
+    c = stored(spark, join_components(spark, docs, id_col, text_col, shingle, percent), "members-of-components")
+    some = c.filter("component is not null").groupBy("component", "id", "text_key").agg(F.count("*").alias("times"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
+    chosen = some.groupBy("component").agg(first.alias("first")).select("component", F.col("first.id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    stays = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))
+    gone, key, times = (new_name(docs, n) for n in ("gone", "key", "times"))
+    # what is to go, and what stays but is there several times
+    marked = stored(spark, some.join(chosen, "component").filter(~stays | (F.col("times") > 1)).select(
+        F.col("id").alias(gone), F.col("text_key").alias(key), F.when(stays, F.col("times")).otherwise(0).alias(times)), "marked")
+    both = docs.join(small_side(marked, MAX_BROADCAST), F.col(id_col).eqNullSafe(F.col(gone)) & (F.xxhash64(text_col) == F.col(key)), "left")
+    single = both.filter(F.col(times).isNull()).select(*docs.columns)
+    return single.unionByName(both.filter(F.col(times) > 0).dropDuplicates([gone, key]).select(*docs.columns))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
