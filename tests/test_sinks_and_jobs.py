@@ -163,3 +163,17 @@ def test_csv_round_trip_carriage_returns(spark, scratch):
     write_csv(spark.createDataFrame([row], ITEM), out)
     got = read_csv(spark, out).collect()[0]
     assert (got.subTitle, got.description, got.subcategoryName) == ("a\rb", "d\r\nx", 'q"r')
+
+
+def test_csv_folder_is_read_back_in_several_splits(spark, scratch):
+    """Values hold line ends, so a file is one task; files are bounded when they are written."""
+    out = scratch("csv")
+    row = ("t", "0124", "c", "line1\nline2", None, "s", "d", 1.0, 2.0, "", "/u", "g", "Сыр", "x")
+    write_csv(spark.createDataFrame([row] * 100, ITEM).coalesce(1), out, file_rows=30)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))          # one file for each split
+    try:
+        back = read_csv(spark, out)
+        assert len(back.inputFiles()) == 4 and back.rdd.getNumPartitions() == 4
+        assert back.count() == 100 and back.first().title == "line1\nline2"
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -85,3 +85,39 @@ def test_null_url_is_kept_once_over_all_batches(spark, tmp_path, scratch):
     stream_ingest(spark, landing, tables, "2024-01-11", ckpt).awaitTermination()
     got = sorted(((r.webUrl or "", r.title) for r in read_daily(spark, tables.raw).collect()))
     assert got == [("", "first"), ("/a", "first"), ("/b", "second")]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_own_keys(spark, tmp_path, scratch, monkeypatch):
+    """Many small batches: what each reads of the index stays small while the day grows."""
+    from shelfprice.streaming import ingest_stream
+
+    read = []
+    real = ingest_stream.KeyIndex.keys_of
+
+    def counted(self, buckets):
+        keys = real(self, buckets)
+        read.append((len(buckets), keys.count()))
+        return keys
+    monkeypatch.setattr(ingest_stream.KeyIndex, "keys_of", counted)
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    drop(landing, "b00.json", [page("0124", 0, [f"/{i}" for i in range(4000)], "first")])
+    for b in range(1, 5):
+        drop(landing, f"b{b:02d}.json", [page("0124", 24 * b, [f"/{i}" for i in range(b, b + 3)] + [f"/new{b}"], "later")])
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt"), max_files_per_trigger=1).awaitTermination()
+    rows = read_daily(spark, tables.raw).collect()
+    assert len(rows) == 4004 and sum(r.title == "later" for r in rows) == 4
+    small = [r for r in read if r[0] <= 4]
+    assert len(small) >= 4 and max(keys for _, keys in small) < 100        # of some 4,000 that are written
+
+
+def test_stream_reports_broken_lines_once(spark, tmp_path, scratch):
+    landing = str(tmp_path / "landing")
+    tables = jobs.Tables(scratch("tables"))
+    drop(landing, "b1.json", [page("0124", 0, ["/a"], "first"), '{"storeId": "0124", "off'])
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt1")).awaitTermination()
+    drop(landing, "b2.json", ["nothing", page("0124", 24, ["/b"], "first")])
+    stream_ingest(spark, landing, tables, "2024-01-11", scratch("ckpt2")).awaitTermination()
+    got = sorted((r.source_file.rpartition("/")[2], r.line_no, r.reason) for r in read_daily(spark, tables.bad_lines).collect())
+    assert got == [("b1.json", 2, "not JSON"), ("b2.json", 1, "not JSON")]
+    assert read_daily(spark, tables.raw).count() == 2
