@@ -18,8 +18,13 @@ like any other.  Only hosts with blocks to judge are looked at.
 Character references are decoded, white space in a block becomes one space, blocks are joined by
 one line break.
 
+What is no text is told by the element (``nav``, ``footer``, ``form`` ...) or, on containers only, by a class, id or role
+whose whole name says so (``ad``, ``cookie-banner``, ``site-footer``; not ``has-sidebar`` or ``search-term``).  Inside an
+article only the names of adverts, notices, comment sections and the like count (``NAMED_INSIDE``).
+
 Defined results: a null or empty page has an empty text; an unclosed element ends with its parent
-or the page; pages of a host with equal text outside menus and the like, and so repeated rows, count as
+or the page, but one that would hide its content (``svg``, ``select``, ``iframe``, ``script`` ...) is passed over if it is
+self-closed or never ended; pages of a host with equal text outside menus and the like, and so repeated rows, count as
 one; a null url belongs to the empty host; an empty table gives an empty result.
 """
 
@@ -41,9 +46,10 @@ from .common import lower_ascii
 RUN, SHORT = 8, 4
 MIN_PAGES, SHARE = 2, 0.1
 MAX_BROADCAST = 1_000_000
-PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S | re.I)
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
+RAW = {"script", "style", "textarea", "iframe", "noembed", "noframes", "xmp"}    # their content is no markup
+CODE = {"script", "style"}
+SILENT = RAW | {"svg", "math", "object", "select", "noscript", "template", "audio", "video", "canvas"}
 MAIN = {"article", "main"}
 CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "title"}
 BLOCKS = MAIN | CHROME | {
@@ -51,15 +57,72 @@ BLOCKS = MAIN | CHROME | {
     "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figure", "figcaption", "address", "details", "summary",
     "fieldset", "hr", "body", "html"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-#: words of class, id and role values that name what is not the page's text
-NOT_TEXT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|notices|gdpr|popup|modal|newsletter|subscribe"
-    r"|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side-bar|related|share|social|toolbar|complementary"
-    r"|contentinfo|search|comments?|respond|replies|disqus)(?:$|[\s_-])", re.I)
-VALUES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+CONTAINERS = {"div", "section", "span", "ins", "ul", "ol", "dl", "table", "td", "center", "fieldset", "details", "figure"}
+#: names that say that a container's content is not the page's text, and words that may stand beside them
+NAMED_INSIDE = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies",
+    "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "share", "social", "nav", "navbar", "navigation", "menu", "breadcrumb",
+    "breadcrumbs", "comment", "comments", "respond", "replies", "disqus"}
+NAMED = NAMED_INSIDE | {"banner", "notice", "notices", "header", "masthead", "footer", "sidebar", "related", "toolbar", "search"}
+BESIDE = {"site", "page", "global", "top", "bottom", "left", "right", "box", "block", "slot", "unit", "bar", "list", "links", "section", "area",
+          "wrapper", "container", "inner", "outer", "primary", "secondary"}
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "menu", "menubar", "toolbar", "form"}
+VALUES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 IN, OUT, OPEN = "in", "out", "open"
 
 
+def pieces(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, whether it ends the element, attributes) of the markup in order; what has no tag is ``''``.
+
+    An element whose content is no markup is one piece up to its end, if it has one.
+    """
+    out, at, endless = [], 0, set()
+    while m := PIECE.search(page, at):
+        tag, at = (m[2] or "").lower(), m.end()
+        if tag in RAW and not m[1] and not m[0].endswith("/>") and tag not in endless:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            # one more that starts before that end is the one that ends there; but scripts may name their own kind
+            if end and (tag in CODE or not re.compile(rf"<{tag}\b", re.I).search(page, at, end.start())):
+                out.append((m.start(), end.end(), "", False, ""))
+                at = end.end()
+                continue
+            if not end:
+                endless.add(tag)                           # none of this kind ends from here on
+        out.append((m.start(), at, tag, bool(m[1]), (m[3] or "")))
+    return out
+
+
+def ended(found: list[tuple[int, int, str, bool, str]]) -> dict[int, int]:
+    """For each piece that starts an element with an end tag of its own, the piece that ends it."""
+    out, stack = {}, []
+    for i, (_, _, tag, closes, _) in enumerate(found):
+        if closes:
+            at = next((k for k in range(len(stack) - 1, -1, -1) if found[stack[k]][2] == tag), None)
+            if at is not None:
+                out[stack[at]] = i
+                del stack[at:]
+        elif tag and tag not in VOID:
+            stack.append(i)
+    return out
+
+
+def says_no_text(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether an element's names say that it holds none of the page's text."""
+    if tag in ("html", "body") or tag in MAIN:
+        return False
+    known = NAMED_INSIDE if inside else NAMED
+    for kind, *values in VALUES.findall(attributes):
+        for name in "".join(values).lower().split():
+            if kind.lower() == "role":
+                if name in ROLES:
+                    return True
+            elif tag in CONTAINERS:
+                words = [w for w in re.split("[-_]+", name) if w]
+                if any(w in known for w in words) and all(w in known or w in BESIDE for w in words):
+                    return True
+    return False
+
+
 def blocks(page: str) -> list[tuple[str, str]]:
     """(text, IN, OUT or OPEN) of a page's blocks in order."""
     out: list[tuple[str, str]] = []
@@ -72,32 +135,37 @@ def blocks(page: str) -> list[tuple[str, str]]:
         if text:
             out.append((text, stack[-1][1]))
 
-    at = 0
-    for m in PIECE.finditer(page):
-        held.append(page[at:m.start()])
-        at = m.end()
-        if not m[3]:
+    found = pieces(page)
+    whole, at, hidden = ended(found), 0, -1
+    for i, (start, end, tag, closes, attributes) in enumerate(found):
+        if i <= hidden:
+            at = end
+            continue
+        held.append(page[at:start])
+        at = end
+        if not tag:
+            continue
+        if tag in SILENT:                                  # nothing of it is text; without an end it holds nothing
+            hidden = whole.get(i, -1)
             continue
-        tag = m[3].lower()
         if tag == "br":
             held.append(" ")
-        if tag in BLOCKS or tag not in VOID and NOT_TEXT.search(" ".join(filter(None, sum(VALUES.findall(m[4]), ())))):
+        if tag in BLOCKS or not closes and tag not in VOID and says_no_text(tag, attributes, stack[-1][1] == IN):
             close()
         if tag in VOID:
             continue
-        if m[2]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+        if closes:
+            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
             if depth:
                 if any(role != stack[depth - 1][1] for _, role in stack[depth:]):
                     close()
                 del stack[depth:]
-        elif not m[0].endswith("/>"):
+        elif not attributes.endswith("/"):
             if tag == "p" and stack[-1][0] == "p":
                 stack.pop()                                # a paragraph ends where the next begins
             role = stack[-1][1]
             if role != OUT:
-                named = " ".join(filter(None, sum(VALUES.findall(m[4]), ())))
-                if tag in CHROME and not (tag == "header" and role == IN) or NOT_TEXT.search(named):
+                if tag in CHROME and not (tag == "header" and role == IN) or says_no_text(tag, attributes, role == IN):
                     role = OUT
                 elif tag in MAIN:
                     role = IN
