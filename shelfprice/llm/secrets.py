@@ -7,7 +7,7 @@ points: ``login`` (a mail address or ``user=`` value) and ``endpoint`` (a URL or
 beside a secret (assign, hex or opaque), and ``opaque`` (32 or more mixed letters and digits)
 beside an identifier (access, login) or endpoint.  Links are found by an interval join: parts
 are cut into cells of SCOPE code points, each cell keeps the first start and last end of each
-role, and a candidate is joined with its own cell and the two beside it; nothing is paired.
+role, and a candidate is joined with all cells that lie within SCOPE of it; nothing is paired.
 
 Spans are leftmost and non-overlapping per kind, in code points, end exclusive.  They are read
 off natively: a separator that cannot occur is put around each match and the lengths of the
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import small_side, stored, table
+from .common import new_name, small_side, stored, table
 
 SCOPE = 200
 MAX_BROADCAST = 100_000       # texts with spans; more are joined by shuffle
@@ -33,7 +33,7 @@ BASE = {"assign": (ASSIGN, 6), "access": ("AKIA[A-Z0-9]+", 20), "hex": ("[0-9a-f
 WEAK = {
     "login": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|(?i)(?:user(?:name)?|login|client_id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]+",
     "endpoint": r"https?://[^\x20\x09-\x0D\"'<>]+|(?i)(?:host|server|endpoint)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._:/-]+",
-    "opaque": r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]{0,64}[0-9])(?=[0-9+/=_-]{0,64}[A-Za-z])[A-Za-z0-9+/=_-]{32,}",
+    "opaque": r"[A-Za-z0-9+/=_-]{32,}",              # and a digit and a letter in it
 }
 KINDS = [*BASE, *WEAK]                  # the order of kinds at equal starts
 ROLE = {"assign": "secret", "hex": "secret", "opaque": "secret",
@@ -57,7 +57,12 @@ def match_spans(text: Column, pattern: str) -> Column:
 
 
 def long_enough(text: Column, spans: Column, kind: str) -> Column:
-    """Drops matches that fail the length the kind asks for (of the value, or the whole match)."""
+    """Drops matches that fail what the kind asks for beside its pattern: a length (of the value, or the whole match), or
+    a digit and a letter."""
+    if kind == "opaque":
+        def piece(s):
+            return F.substr(text, s["start"] + 1, s["end"] - s["start"])
+        return F.filter(spans, lambda s: piece(s).rlike("[0-9]") & piece(s).rlike("[A-Za-z]"))
     pattern, least = BASE[kind]
     if kind == "hex":
         return spans                    # a run of 24 or more is what the pattern itself asks for
@@ -82,7 +87,7 @@ def part_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for kind in KINDS:
         pattern = BASE[kind][0] if kind in BASE else WEAK[kind]
         spans = match_spans(text, pattern)
-        if kind in BASE:
+        if kind in BASE or kind == "opaque":
             spans = long_enough(text, spans, kind)
         cols.append(F.when(must[kind] & text.rlike(pattern), spans).otherwise(none).alias(kind))
     return rows.select(F.monotonically_increasing_id().alias("row"), "id", F.md5("source_text").alias("text_key"), *cols)
@@ -112,8 +117,8 @@ def linked_weak(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     needs = F.create_map(*[x for k, v in NEEDS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     want = (part.filter(F.col("kind").isin(*WEAK))
             .withColumn("role", F.explode(needs[F.col("kind")]))
-            .withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / scope) - 1,
-                                                     F.floor((F.col("end") - 1) / scope) + 1))))
+            .withColumn("cell", F.explode(F.sequence(F.floor((F.col("start") - scope - 1) / scope),
+                                                     F.floor((F.col("end") + scope) / scope)))))
     near = want.join(held, ["row", "cell", "role"]).filter(
         # after the candidate: the cell's first start; before it: its last end; else one inside
         ((F.col("first") <= F.col("end") + scope) & (F.col("until") >= F.col("start") - scope)))
@@ -143,6 +148,7 @@ def redact(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text
     found = scan(spark, docs, id_col, text_col, **options)
     # equal texts have equal spans: one row for each text that has any
     spans = stored(spark, found.filter(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("found_spans")), "found")
+    key, found_name = new_name(docs, "text_key"), new_name(docs, "found_spans")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(acc, s):
@@ -150,12 +156,13 @@ def redact(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text
         piece = F.when(s["start"] >= acc["at"], F.concat(upto, F.lit(with_what))).otherwise("")
         return F.struct(F.concat(acc["out"], piece).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    text = F.aggregate("found_spans", start, step,
+    text = F.aggregate(found_name, start, step,
                        lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1, F.length(text_col))))
-    joined_docs = docs.join(small_side(spans, MAX_BROADCAST), F.md5(text_col) == F.col("text_key"), "left")
-    out = {text_col: F.when(F.col("found_spans").isNull(), F.col(text_col)).otherwise(text)}
+    names = spans.select(F.col("text_key").alias(key), F.col("found_spans").alias(found_name))
+    joined_docs = docs.join(small_side(names, MAX_BROADCAST), F.md5(text_col) == F.col(key), "left")
+    out = {text_col: F.when(F.col(found_name).isNull(), F.col(text_col)).otherwise(text)}
     if length_col in docs.columns:
-        out[length_col] = F.when(F.col("found_spans").isNull(), F.col(length_col)).otherwise(
+        out[length_col] = F.when(F.col(found_name).isNull(), F.col(length_col)).otherwise(
             F.length(text).cast(docs.schema[length_col].dataType))
     return joined_docs.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
 
