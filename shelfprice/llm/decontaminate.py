@@ -13,8 +13,9 @@ the stretch a copy can span, and windows without it are not aligned.
 Items are sent to the tasks in blocks of at most BLOCK_BYTES of text, one pass a block, so
 what is broadcast has a fixed bound; the corpus is only mapped, never shuffled or paired.
 
-Defined results: null and empty texts match nothing; an item of fewer than MIN_WORDS words is
-too short to tell a leak from chance and matches nothing; repeated items and rows give repeated
+Defined results: null and empty texts match nothing; an item of fewer than MIN_WORDS words,
+too short to tell a leak within a text from chance, matches the texts that consist of just its words, by one hash of
+all of them; an item without words matches nothing; repeated items and rows give repeated
 results; empty tables give an empty result.  Case of A-Z is ignored.
 """
 
@@ -66,6 +67,9 @@ class Items:
                 grams.append(g)
                 owners.append(np.full(len(g), i))
                 places.append(np.arange(len(g)))
+        # short items by the hash of all their words, and where a key's items begin
+        short = [(int(shingle_hashes(w, len(w))[0]), i) for i, w in enumerate(self.words) if 0 < len(w) < MIN_WORDS]
+        self.short = {k: [i for x, i in short if x == k] for k, _ in short}
         cat = (lambda x, t: np.concatenate(x) if x else np.zeros(0, t))
         self.index(cat(grams, np.uint64), cat(owners, np.int64), cat(places, np.int64))
 
@@ -86,6 +90,9 @@ class Items:
 
     def leaks(self, words: np.ndarray, threshold: float) -> list[tuple]:
         """(item, similarity, first word, one past the last) of the copies in a text."""
+        if 0 < len(words) < MIN_WORDS and self.short:
+            return [(i, 1.0, 0, len(words)) for i in self.short.get(int(shingle_hashes(words, len(words))[0]), ())
+                    if len(self.words[i]) == len(words)]
         grams = shingle_hashes(words, N)
         at, hit = lookup(self.keys, grams)
         places = np.flatnonzero(hit)
@@ -149,7 +156,7 @@ def leak_columns(spark: SparkSession, docs: DataFrame, items: DataFrame, text_co
     """For every block of items: (their ids, column of the leaks found in each text)."""
     for ids, texts in item_blocks(items, item_col, item_text_col):
         block = Items(texts)
-        if not len(block.keys):
+        if not len(block.keys) and not block.short:
             continue
         shared = spark.sparkContext.broadcast(vars(block))
 
