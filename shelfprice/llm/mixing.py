@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import WORD, small_side, stored
+from .common import WORD, new_name, small_side, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)            # the mix holds 3/2 of all words
@@ -64,10 +64,10 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: st
         document_hash(id_col, seed).alias("hash"))
 
 
-def beside(rows: DataFrame, state: DataFrame, source_col="source") -> DataFrame:
+def beside(rows: DataFrame, state: DataFrame, source_col="source", prefix="mix_") -> DataFrame:
     """Rows with their source's state (columns ``mix_...``)."""
-    named = state.select(*[F.col(c).alias("mix_" + c) for c in state.columns])
-    return rows.join(small_side(named, MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("mix_source")))
+    named = state.select(*[F.col(c).alias(prefix + c) for c in state.columns])
+    return rows.join(small_side(named, MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col(prefix + "source")))
 
 
 def thresholds(spark: SparkSession, rows: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:
@@ -103,9 +103,9 @@ def thresholds(spark: SparkSession, rows: DataFrame, weights=WEIGHTS, share=SHAR
     return state
 
 
-def times(hash_col, repeats: int):
-    more = (F.col("mix_whole") < repeats) & (hash_col < F.col("mix_prefix"))
-    return F.col("mix_whole") + F.when(more, 1).otherwise(0)
+def times(hash_col, repeats: int, prefix="mix_"):
+    more = (F.col(prefix + "whole") < repeats) & (hash_col < F.col(prefix + "prefix"))
+    return F.col(prefix + "whole") + F.when(more, 1).otherwise(0)
 
 
 def mix(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
@@ -120,11 +120,15 @@ def mix(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text",
 
 def mixed(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
           seed="mix", weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:
-    """The rows of ``docs`` that the mix holds, all columns as they are, and ``mix_times``: how often."""
+    """The rows of ``docs`` that the mix holds, all columns as they are, and ``mix_times``: how often (``mix_times_`` where
+    there is a column of that name)."""
     rows = stored(spark, sized(docs, id_col, text_col, source_col, seed), "sizes")
-    out = beside(docs, thresholds(spark, rows, weights, share, repeats), source_col)
-    n = times(document_hash(id_col, seed), repeats)
-    return out.filter(n > 0).select(*docs.columns, n.alias("mix_times"))
+    prefix = "mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    out = beside(docs, thresholds(spark, rows, weights, share, repeats), source_col, prefix)
+    n = times(document_hash(id_col, seed), repeats, prefix)
+    return out.filter(n > 0).select(*docs.columns, n.alias(new_name(docs, "mix_times")))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
