@@ -10,6 +10,10 @@ DataFrame, which is written as Parquet and read again as the next one's input.
 5. mixing: sources are brought to their target weights; ``mix_times`` says how often the mix
    holds a document.
 
+Defined results: rows with null or empty texts have no perplexity and go in the first stage, so an empty result is
+possible and every stage takes it; null ids, languages and sources are values like any other; of repeated rows one stays; columns
+whose names a stage uses itself are kept as they are.
+
 SQL cannot express the perplexities and alignments, so ORACLE_SQL is None and the stages are
 tested against brute force.
 """
