@@ -47,7 +47,7 @@ BITS = 2048                    # of the sketch
 BLOCK = 1024                   # members compared at once
 HUBS = 4                       # members of a large open group that all others are compared with
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
-HELD = 1 << 20                 # signatures a task groups at once
+HELD = 1 << 17                 # signatures a task groups at once
 SEGMENT_BITS, HASH_BITS = 17, 40
 PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature
 DELETION_FACTOR = 2            # pairs that a one-deletion neighbourhood adds, over the rows it takes
@@ -291,8 +291,8 @@ def set_rows(texts: DataFrame, k: int) -> DataFrame:
         for b in batches:
             for first, held in chunks(b["text"]):
                 yield pd.DataFrame({"class": b["class"].to_numpy()[first:first + len(held)],
-                                    "set": [s.tobytes() for s in text_sets(held, hasher, k)]})
-    return texts.mapInPandas(run, "class long, set binary")
+                                    "set": [s.view(np.int64) for s in text_sets(held, hasher, k)]})
+    return texts.mapInPandas(run, "class long, set array<long>")
 
 
 def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -300,22 +300,16 @@ def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, classes: Da
 
     The set of b is cut from its text beside the pair and goes to that of a, once for each pair.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
     def sets(column: str, name: str) -> DataFrame:
         some = pairs.select(F.col(column).alias("class")).distinct()
         wanted = stored(spark, classes.select("class", "text_key", "id").join(some, "class"), "wanted")
         return set_rows(class_texts(docs, wanted), k).select(F.col("class").alias(column), F.col("set").alias(name))
 
     beside = sets("b", "sb").join(small_side(pairs, MAX_BROADCAST), "b")
-    return stored(spark, beside.join(sets("a", "sa"), "a").mapInArrow(run, "a long, b long"), "links")
+    met = beside.join(sets("a", "sa"), "a").select("a", "b", F.size("sa").alias("x"), F.size("sb").alias("y"),
+                                                   F.size(F.array_intersect("sa", "sb")).alias("both"))
+    linked = 100 * F.col("both") >= percent * (F.col("x") + F.col("y") - F.col("both"))
+    return stored(spark, met.filter(linked).select("a", "b"), "links")
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
@@ -332,13 +326,17 @@ def hub_pairs(members: DataFrame) -> DataFrame:
 
 
 def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """(sig, class, component): members of the groups that hold several components, which one of their pointers joins."""
+    """(sig, class, component): members of the groups that hold several components, which one of their pointers joins.
+
+    A group of two has one pointer, which has been verified by then: it is not looked at again.
+    """
     def part(column: str, name: str) -> DataFrame:
         return small_side(parts, MAX_BROADCAST).select(F.col("node").alias(column), F.col("component").alias(name))
 
     marked = (members.join(part("class", "p"), "class", "left").join(part("hub", "q"), "hub", "left")
               .select("sig", "class", "hub", F.coalesce("p", "class").alias("p"), F.coalesce("q", "hub").alias("q")))
-    rows = marked.join(marked.filter("p != q").select("sig").distinct(), "sig")
+    groups = marked.groupBy("sig").agg(F.count("*").alias("c"), F.max(F.col("p") != F.col("q")).alias("open")).filter("c > 1 and open")
+    rows = marked.join(groups.select("sig"), "sig")
     return (rows.select("sig", "class", F.col("p").alias("component"))
             .unionByName(rows.select("sig", F.col("hub").alias("class"), F.col("q").alias("component"))).distinct())
 
@@ -354,18 +352,25 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
     tiles = m.select("sig", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
                      "mine", "class", "component", "n", "sketch")
 
-    def compare(b: pd.DataFrame) -> pd.DataFrame:
-        """Pairs within one tile, a row of it against all that follow."""
+    def solve(b: pd.DataFrame) -> pd.DataFrame:
+        """Pairs within whole tiles, which lie one after another: rows d apart, for every d, all at once."""
+        tile = np.cumsum(np.concatenate([[0], (b[["sig", "x", "y"]].to_numpy()[1:] != b[["sig", "x", "y"]].to_numpy()[:-1]).any(1)]))
         mine, key, part, n = (b[c].to_numpy() for c in ("mine", "class", "component", "n"))
-        cross, sketches, out = b["x"].iloc[0] != b["y"].iloc[0], sketch_array(b["sketch"]), []
-        for i in range(len(b) - 1):
-            j = np.flatnonzero((part[i + 1:] != part[i]) & (np.minimum(n[i + 1:], n[i]) * 100 >= percent * np.maximum(n[i + 1:], n[i]))) + i + 1
-            if cross:
-                j = j[mine[j] != mine[i]]
-            bits = differing_bits(sketches[j], sketches[i])
-            ok = may_link(bits, n[i], n[j], percent)
+        cross, sketches, out = (b["x"] != b["y"]).to_numpy(), sketch_array(b["sketch"]), []
+        i = np.arange(len(b))
+        for d in range(1, len(b)):
+            i = i[i + d < len(b)]
+            i = i[tile[i] == tile[i + d]]
+            if not len(i):
+                break
+            j = i + d
+            ok = (part[i] != part[j]) & (~cross[i] | (mine[i] != mine[j]))
+            ok &= np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
+            p, q = i[ok], j[ok]
+            bits = differing_bits(sketches[p], sketches[q])
+            ok = may_link(bits, n[p], n[q], percent)
             if ok.any():
-                out.append((np.full(ok.sum(), i), j[ok], bits[ok]))
+                out.append((p[ok], q[ok], bits[ok]))
         if not out:
             return pd.DataFrame({"a": key[:0], "b": key[:0]})
         i, j, bits = (np.concatenate(x) for x in zip(*out))
@@ -374,13 +379,7 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
                                  "row": np.tile(np.arange(len(i)), 2)}).sort_values(["one", "part", "bits", "row"])
             use = np.unique(both.drop_duplicates(["one", "part"])["row"])
             i, j = i[use], j[use]
-        return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])})
-
-    def solve(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        tile = b[["sig", "x", "y"]].to_numpy()
-        edges = np.flatnonzero((tile[1:] != tile[:-1]).any(1)) + 1
-        for s, e in zip([0, *edges], [*edges, len(b)]):
-            yield compare(b.iloc[s:e])
+        return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])}).drop_duplicates()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None                                    # the tile that the last batch ended in
@@ -391,10 +390,10 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
             last = (b[["sig", "x", "y"]] != b[["sig", "x", "y"]].iloc[-1]).any(axis=1).to_numpy()
             edge = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
             if edge:
-                yield from solve(b.iloc[:edge])
+                yield solve(b.iloc[:edge])
             held = b.iloc[edge:]
         if held is not None and len(held):
-            yield from solve(held)
+            yield solve(held)
 
     return (tiles.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
             .mapInPandas(run, "a long, b long").distinct())
