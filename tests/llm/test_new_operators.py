@@ -186,8 +186,9 @@ def test_odd_and_empty(spark, odd_docs):
         found = lexical_search.search(spark, df, bench).collect()
         assert (len(found) > 0) == (df is odd_docs)
         assert lexical_search.search(spark, df, bench.limit(0)).count() == 0
-        rows = divergence.audit(spark, df, min_docs=1).collect()
-        assert (len(rows) > 0) == (df is odd_docs)
+        assert divergence.audit(spark, df, min_docs=1).count() == 0             # every language has one source
+        rows = divergence.audit(spark, df, source_col="doc_id", min_docs=1)
+        assert (rows.count() > 0) == (df is odd_docs)
     e = spark.createDataFrame([], "vec_id long, embedding array<float>, class long, copies long")
     assert embedding_dedup.near_duplicates(spark, e).count() == 0
     e = spark.createDataFrame([(1, None, 1, 2), (2, [0.0], 1, 2)], e.schema)
