@@ -16,6 +16,10 @@ extension's end to depth r.  Anchors with more than MAX_CONTEXTS contexts are no
 windows are hashed whole, grouped, and those that occur twice cover their bytes; the result is
 the same.
 
+Passages of more than 50 words can be shorter than LENGTH bytes.  ``passages`` finds those that also stand in another
+text within what is left, by words: every window of WORDS words has the smallest hash of its SEED-word runs
+as its seed; seeds that stand in one text only go, and the windows of the others are hashed whole and grouped.
+
 Defined results: a null text is empty; matches never cross texts, overlaps count, and what
 repeats is judged on the input; repeated rows repeat each other; texts shorter than LENGTH lose
 nothing; an empty table gives an empty result.  Texts are told apart by 128 bits of hash.
@@ -29,9 +33,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Hasher, U, mix64, stored, table, utf8
+from .common import Hasher, U, Words, lookup, mix64, powers, stored, table, utf8
 
 LENGTH, ANCHOR = 400, 128
+WORDS, SEED = 51, 16
 MAX_CONTEXTS = 16_384          # about 11 MB of contexts; sorted in one task
 
 
@@ -251,8 +256,65 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text"
         cut, f"id {kind}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
 
 
+def word_windows(kept: bytes, cuts: list[int], hasher: Hasher, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of its first word, seed, hash) of every window of ``words`` words of a text; none spans one of the ``cuts``."""
+    out, number = [], 0
+    for a, b in zip([0, *cuts], [*cuts, len(kept)]):
+        h = mix64(Words([kept[a:b]], hasher).hash)
+        if len(h) >= words:
+            up, down = powers(len(h) + 1)
+            c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:len(h)], dtype=np.uint64)])
+            runs = [mix64((c[k:] - c[:-k]) * down[:len(c) - k] + U(k)) for k in (seed, words)]
+            out.append((np.arange(number, number + len(runs[1])), window_min(runs[0], words - seed + 1), runs[1]))
+        number += len(h) + 1
+    none = np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none.astype(np.int64), none, none)
+
+
+def passages(spark: SparkSession, found: DataFrame, words=WORDS, seed=SEED) -> DataFrame:
+    """(row, n): runs of ``words`` words or more, as long as can be, that another row of the stored ``found`` (row, removed,
+    kept) holds too, within what is left of the texts."""
+    def windows(b: pd.DataFrame):
+        hasher = Hasher(fold=True)
+        for row, removed, kept in zip(b["row"], b["removed"], b["kept"]):
+            cuts, gone = [], 0
+            for s in removed:
+                cuts.append(s["start"] - gone)
+                gone += s["end"] - s["start"]
+            yield row, *word_windows(kept, cuts, hasher, words, seed)
+
+    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            each = [(row, np.unique(s)) for row, _, s, _ in windows(b)]
+            yield pd.DataFrame({"row": np.repeat([r for r, _ in each], [len(s) for _, s in each]).astype(np.int64),
+                                "seed": np.concatenate([np.zeros(0, np.uint64), *[s for _, s in each]]).view(np.int64)})
+
+    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for (row, at, s, w), mine in zip(windows(b), b["seeds"]):
+                ok = lookup(np.sort(np.asarray(mine, np.int64).view(np.uint64)), s)[1]
+                yield pd.DataFrame({"row": row, "at": at[ok], "w": w[ok].view(np.int64)})
+
+    def elsewhere(rows: DataFrame, key: str) -> DataFrame:
+        """Keys that more than one row has."""
+        return rows.groupBy(key).agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo < hi").select(key)
+
+    every = stored(spark, found.select("row", "removed", "kept").mapInPandas(seeds, "row long, seed long"), "seeds")
+    mine = every.join(stored(spark, elsewhere(every, "seed"), "shared-seeds"), "seed").groupBy("row").agg(F.collect_list("seed").alias("seeds"))
+    some = stored(spark, found.select("row", "removed", "kept").join(stored(spark, mine, "seeds-of"), "row").mapInPandas(
+        chosen, "row long, at long, w long"), "windows")
+    hit = some.join(stored(spark, elsewhere(some, "w"), "shared-windows"), "w").groupBy("row").agg(
+        F.array_sort(F.collect_list("at")).alias("at"))
+    starts = F.filter("at", lambda p, i: (i == 0) | (p != F.get("at", i - 1) + 1))
+    return hit.select("row", F.size(starts).cast("long").alias("n"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup(spark, table(spark, sf_dir, "documents"))
+    """Beside the contract's columns ``n_passages``: maximal removed runs, and runs of more than 50 words in what is left that stand
+    in another document too."""
+    found = stored(spark, dedup(spark, table(spark, sf_dir, "documents")).withColumn("row", F.monotonically_increasing_id()), "found")
     size = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", size.alias("n_removed"),
-                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    spans = F.size("removed").cast("long")
+    return found.join(passages(spark, found), "row", "left").select(
+        F.col("id").alias("doc_id"), "n_bytes", size.alias("n_removed"), spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (spans + F.coalesce("n", F.lit(0))).alias("n_passages"))

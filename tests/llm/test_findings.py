@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfprice.llm import decontaminate, html_extract, jaccard_join, mixing, secrets
+from shelfprice.llm import decontaminate, html_extract, jaccard_join, mixing, secrets, suffix_dedup
 
 
 @pytest.mark.parametrize("page, text", [
@@ -142,3 +142,37 @@ def test_linked_sets_share_a_signature(percent):
                               if (k := min(exchanges, bands.segments(b) // 2))}
                 a, b = (jaccard_join.signatures(x, bands, allocation) for x in (s, t))
                 assert len(np.intersect1d(a, b))
+
+
+def test_passages_of_words_in_what_is_left(spark):
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    shared = [" ".join(rnd.choices(words, k=k)) for k in (6, 11, 12, 13, 25, 40)]
+    rows = []
+    for i in range(40):
+        parts = [" ".join(rnd.choices(words, k=rnd.randrange(3, 30))) for _ in range(3)]
+        parts.insert(rnd.randrange(3), rnd.choice(shared))
+        text = "  ".join(parts).encode()
+        cut = sorted(rnd.sample(range(len(text)), 2)) if i % 4 == 0 else []
+        removed = [(cut[0] + 100 * k, cut[0] + 100 * k + 30) for k, _ in enumerate(cut)]        # in places of the text before the cut
+        kept_cuts = [removed[0][0], removed[1][0] - 30] if removed else []
+        rows.append((i, removed, text, kept_cuts))
+    rows += [(100, [], b"", []), (101, [], rows[1][2], []), (102, [], rows[1][2].upper(), [])]
+    df = spark.createDataFrame([(r, x, bytearray(t)) for r, x, t, _ in rows], "row long, removed array<struct<start:int,end:int>>, kept binary")
+    n, holders, places = 12, defaultdict(set), {}
+    for r, _, text, cuts in rows:
+        mine, number = [], 0
+        for a, b in zip([0, *cuts], [*cuts, len(text)]):
+            w = text[a:b].lower().split()
+            mine += [(number + i, tuple(w[i:i + n])) for i in range(len(w) - n + 1)]
+            number += len(w) + 1
+        places[r] = mine
+        for _, g in mine:
+            holders[g].add(r)
+    want = {}
+    for r, mine in places.items():
+        at = {i for i, g in mine if len(holders[g]) > 1}
+        if at:
+            want[r] = sum(i - 1 not in at for i in at)
+    got = {r.row: r.n for r in suffix_dedup.passages(spark, df, words=n, seed=4).collect()}
+    assert got == want and len(want) > 10
