@@ -312,21 +312,8 @@ def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, classes: Da
     return stored(spark, met.filter(linked).select("a", "b"), "links")
 
 
-def hub_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a large group with those of another component among its hubs, which are the
-    members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
-    h = F.xxhash64("class")
-    large = members.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > BLOCK)
-    rows = members.join(large.select("sig"), "sig")
-    hubs = (rows.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
-            .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
-            .select("sig", F.col("hub.class").alias("hub"), F.col("hub.component").alias("hub_component")))
-    return (rows.join(hubs, "sig").filter("component != hub_component")
-            .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
-
-
 def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """(sig, class, component): members of the groups that hold several components, which one of their pointers joins.
+    """(sig, class, size): members of the groups that hold several components, which one of their pointers joins.
 
     A group of two has one pointer, which has been verified by then: it is not looked at again.
     """
@@ -334,11 +321,28 @@ def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
         return small_side(parts, MAX_BROADCAST).select(F.col("node").alias(column), F.col("component").alias(name))
 
     marked = (members.join(part("class", "p"), "class", "left").join(part("hub", "q"), "hub", "left")
-              .select("sig", "class", "hub", F.coalesce("p", "class").alias("p"), F.coalesce("q", "hub").alias("q")))
-    groups = marked.groupBy("sig").agg(F.count("*").alias("c"), F.max(F.col("p") != F.col("q")).alias("open")).filter("c > 1 and open")
-    rows = marked.join(groups.select("sig"), "sig")
-    return (rows.select("sig", "class", F.col("p").alias("component"))
-            .unionByName(rows.select("sig", F.col("hub").alias("class"), F.col("q").alias("component"))).distinct())
+              .select("sig", "class", "hub", (F.coalesce("p", "class") != F.coalesce("q", "hub")).alias("apart")))
+    groups = marked.groupBy("sig").agg(F.count("*").alias("c"), F.max("apart").alias("open")).filter("c > 1 and open")
+    rows = members.join(groups.select("sig", (F.col("c") + 1).alias("size")), "sig")
+    return rows.select("sig", "class", "size").unionByName(rows.select("sig", F.col("hub").alias("class"), "size")).distinct()
+
+
+def labelled(rest: DataFrame, parts: DataFrame) -> DataFrame:
+    """(sig, class, size, component): open members with the components found so far."""
+    part = small_side(parts, MAX_BROADCAST).select(F.col("node").alias("class"), "component")
+    return rest.join(part, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): members of a large group with those of another component among its hubs, which are the
+    members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
+    h, rows = F.xxhash64("class"), members.filter(F.col("size") > BLOCK)
+    hubs = (rows.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
+            .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
+            .groupBy("sig").agg(F.collect_list("hub").alias("hubs")))                    # HUBS at most
+    apart = F.filter("hubs", lambda x: x["component"] != F.col("component"))
+    return (rows.join(hubs, "sig").select("class", F.explode(apart["class"]).alias("hub"))
+            .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
 
 
 def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -346,9 +350,8 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
 
     With ``nearest`` only those of least distance, for each member and other component of a pair of blocks.
     """
-    sizes = members.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    m = members.join(sizes, "sig").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = m.select("sig", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
                      "mine", "class", "component", "n", "sketch")
 
@@ -436,24 +439,17 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
     edges = edges.unionByName(verify(others))
     parts = stored(spark, components(spark, edges), "components")
 
-    def still_open() -> DataFrame:
-        return stored(spark, open_members(members, parts), "open")
-
-    rest = still_open()
+    rest = stored(spark, open_members(members, parts), "open")
     sketches = classes.select("class", "n", "sketch")
-    for step in (lambda: hub_pairs(rest), lambda: block_pairs(rest.join(sketches, "class"), percent, True),
-                 lambda: block_pairs(rest.join(sketches, "class"), percent, False)):
+    for step in (hub_pairs, lambda m: block_pairs(m.join(sketches, "class"), percent, True),
+                 lambda m: block_pairs(m.join(sketches, "class"), percent, False)):
         if rest.isEmpty():
             break
-        more = stored(spark, step(), "open-pairs")
-        if more.isEmpty():
-            continue
-        links = verify(more)
+        more = stored(spark, step(labelled(rest, parts)), "open-pairs")
+        links = verify(more) if not more.isEmpty() else more
         if not links.isEmpty():
             edges = edges.unionByName(links)
             parts = stored(spark, components(spark, edges), "components")
-            drop_stored(spark, rest)
-            rest = still_open()
     return parts
 
 
