@@ -176,3 +176,18 @@ def test_passages_of_words_in_what_is_left(spark):
             want[r] = sum(i - 1 not in at for i in at)
     got = {r.row: r.n for r in suffix_dedup.passages(spark, df, words=n, seed=4).collect()}
     assert got == want and len(want) > 10
+
+
+def test_odd_pages(spark):
+    from shelfprice.llm import url_filter
+
+    long_url, long_html = "http://a.example.org/es/" + "x/" * 50_000, "<p>" + "word " * 100_000 + "</p>"
+    rows = [(1, None, None), (1, None, None), (2, "", ""), (3, long_url, long_html), (None, "http://x.com/de/", "<article>a</article>"),
+            (4, "http://x.com/de/", "<article>a</article>"), (4, "http://x.com/de/", "<article>a</article>"), (5, "HTTP://", "<")]
+    df = spark.createDataFrame([(*r, "h", 1, "p", "v", "t") for r in rows],
+                               "page_id long, url string, html string, host string, row long, path string, verdict string, text string")
+    got = sorted((r.id or 0, r.rule or "", r.verdict) for r in url_filter.judge(spark, df).collect())
+    assert got == [(0, "com/de/", "block"), (1, "", "allow"), (1, "", "allow"), (2, "", "allow"), (3, "example.org/es/", "block"),
+                   (4, "com/de/", "block"), (4, "com/de/", "block"), (5, "", "allow")]
+    pages = sorted((r.id or 0, r.text) for r in html_extract.extract(spark, df).collect())
+    assert pages == [(0, "a"), (1, ""), (1, ""), (2, ""), (3, " ".join(["word"] * 100_000)), (4, "a"), (4, "a"), (5, "<")]
