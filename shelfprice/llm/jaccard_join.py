@@ -16,9 +16,10 @@ empty subsets uses that number.
    Groups then point to their first class over all tasks in the same way.  What points nowhere goes.
 3. Every class is compared with the one it points to most often, links are verified, and of the other pointers only
    those are compared that still join different ones.  The links give components.
-4. Groups that then hold several components are open.  Members of large ones are compared with HUBS more.  Members of
-   open groups are compared in blocks, first each with the nearest of every other component, then, in what is still open,
-   all with all of other components; what may be linked is verified exactly.
+4. Groups that then hold several components are open.  Members of those with more than LARGE are compared with HUBS more.
+   Members of open groups are compared in blocks: first each with the nearest one of another component, then, in what is
+   still open, with the nearest one of every other component, then with all of other components; what may be linked is
+   verified exactly.
 
 Comparisons first use a sketch, one bit for each of BITS cells that says whether an odd number of the set's shingles fall
 there: sketches never differ in more bits than the sets do in shingles, so no linked pair is lost, and at the
@@ -45,7 +46,7 @@ from .common import (Hasher, U, Words, chunks, components, drop_stored, mix64, n
 
 BITS = 2048                    # of the sketch
 BLOCK = 1024                   # members compared at once
-HUBS = 4                       # members of a large open group that all others are compared with
+HUBS, LARGE = 4, 16            # members of an open group of more than LARGE that all others are compared with
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
 HELD = 1 << 17                 # signatures a task groups at once
 SEGMENT_BITS, HASH_BITS = 17, 40
@@ -333,10 +334,16 @@ def labelled(rest: DataFrame, parts: DataFrame) -> DataFrame:
     return rest.join(part, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
+def still_open(members: DataFrame) -> DataFrame:
+    """The labelled members of groups that still hold several components."""
+    groups = members.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    return members.join(groups, "sig", "left_semi")
+
+
 def hub_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a large group with those of another component among its hubs, which are the
+    """(a, b): members of a group of more than LARGE with those of another component among its hubs, which are the
     members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
-    h, rows = F.xxhash64("class"), members.filter(F.col("size") > BLOCK)
+    h, rows = F.xxhash64("class"), members.filter(F.col("size") > LARGE)
     hubs = (rows.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
             .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
             .groupBy("sig").agg(F.collect_list("hub").alias("hubs")))                    # HUBS at most
@@ -345,10 +352,11 @@ def hub_pairs(members: DataFrame) -> DataFrame:
             .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
 
 
-def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
+def block_pairs(members: DataFrame, percent: int, nearest: list[str] | None = None) -> DataFrame:
     """(a, b) of one group but different components that may be linked, by pairs of blocks.
 
-    With ``nearest`` only those of least distance, for each member and other component of a pair of blocks.
+    With ``nearest`` only those of least distance in a pair of blocks: for each member (``["one"]``), or for
+    each member and other component (``["one", "part"]``).
     """
     mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     m = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -379,8 +387,8 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
         i, j, bits = (np.concatenate(x) for x in zip(*out))
         if nearest:
             both = pd.DataFrame({"one": np.concatenate([i, j]), "part": np.concatenate([part[j], part[i]]), "bits": np.tile(bits, 2),
-                                 "row": np.tile(np.arange(len(i)), 2)}).sort_values(["one", "part", "bits", "row"])
-            use = np.unique(both.drop_duplicates(["one", "part"])["row"])
+                                 "row": np.tile(np.arange(len(i)), 2)}).sort_values([*nearest, "bits", "row"])
+            use = np.unique(both.drop_duplicates(nearest)["row"])
             i, j = i[use], j[use]
         return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])}).drop_duplicates()
 
@@ -441,8 +449,8 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
 
     rest = stored(spark, open_members(members, parts), "open")
     sketches = classes.select("class", "n", "sketch")
-    for step in (hub_pairs, lambda m: block_pairs(m.join(sketches, "class"), percent, True),
-                 lambda m: block_pairs(m.join(sketches, "class"), percent, False)):
+    steps = [hub_pairs, *[lambda m, n=n: block_pairs(m.join(sketches, "class"), percent, n) for n in (["one"], ["one", "part"], None)]]
+    for step in steps:
         if rest.isEmpty():
             break
         more = stored(spark, step(labelled(rest, parts)), "open-pairs")
@@ -450,6 +458,9 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
         if not links.isEmpty():
             edges = edges.unionByName(links)
             parts = stored(spark, components(spark, edges), "components")
+            fewer = stored(spark, still_open(labelled(rest, parts)).drop("component"), "open")
+            drop_stored(spark, rest)
+            rest = fewer
     return parts
 
 
