@@ -5,9 +5,10 @@ the same or neighbouring bands.  In a band whose sets differ in at most H shingl
 universe of shingles is hashed into H + 1 + Z segments: at least Z + 1 of them agree.  A signature
 is a segment's subset, hashed; equal signatures make candidates.  Empty subsets, which many sets share,
 are indexed only by sets with more than Z of them: any other linked pair agrees in one that is not empty.
-Allocation by cost: a segment whose equal subsets make more pairs than the rows of an exchange is skipped,
+Allocation by cost: a segment whose equal subsets leave more pairs to compare (step 4) than an exchange costs is skipped,
 and a cheap one is indexed with its one-deletion neighbourhood (all subsets short of one shingle) instead, which
-covers a difference of one there.  With k exchanges some segments still agree (``Bands.agreeing``), and the rule for
+covers a difference of one there; that costs its rows, and the pairs of sets with at most one shingle there, which all
+meet in the empty subset.  With k exchanges some segments still agree (``Bands.agreeing``), and the rule for
 empty subsets uses that number.
 
 1. Equal sets are one class, with one representative text; a class is linked as a whole.
@@ -16,9 +17,10 @@ empty subsets uses that number.
    Groups then point to their first class over all tasks in the same way.  What points nowhere goes.
 3. Every class is compared with the one it points to most often, links are verified, and of the other pointers only
    those are compared that still join different ones.  The links give components.
-4. Groups that then hold several components are open.  Members of large ones are compared with HUBS more.  Members of
-   open groups are compared in blocks, first each with the nearest of every other component, then, in what is still open,
-   all with all of other components; what may be linked is verified exactly.
+4. Groups that then hold several components are open.  Linked sets agree in so many indexed segments, A, that each can
+   leave A - 1 of its open groups: it leaves the largest, which common lines and passages make, and of the groups that a linked
+   pair shares the smallest still holds both.  Segments are exchanged by what is left.  Members of it are compared in blocks, first each with the nearest of
+   every other component, then, in what is still open, all with all of other components; what may be linked is verified exactly.
 
 Comparisons first use a sketch, one bit for each of BITS cells that says whether an odd number of the set's shingles fall
 there: sketches never differ in more bits than the sets do in shingles, so no linked pair is lost, and at the
@@ -39,17 +41,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import (Hasher, U, Words, chunks, components, drop_stored, mix64, new_name, shingle_hashes, small_side, stored, table)
 
 BITS = 2048                    # of the sketch
 BLOCK = 1024                   # members compared at once
-HUBS = 4                       # members of a large open group that all others are compared with
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
 HELD = 1 << 17                 # signatures a task groups at once
 SEGMENT_BITS, HASH_BITS = 17, 40
-PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature
+PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature or one more pair by an exchange
 DELETION_FACTOR = 2            # pairs that a one-deletion neighbourhood adds, over the rows it takes
 
 
@@ -104,6 +105,23 @@ def sums_by(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return low + (high << U(32))
 
 
+def segment_of(s: np.ndarray, band: int, m: int) -> np.ndarray:
+    return ((mix64(s + U(band + 1)) >> U(11)) % U(m)).astype(np.int64)
+
+
+def spare(s: np.ndarray, bands: Bands) -> list[tuple[int, int]]:
+    """(band, groups of that band that the set can leave): sets linked with it share one group more with it at least.
+
+    Of the segments that agree, the set's empty ones may not be indexed.
+    """
+    out, b0 = [], bands.of(len(s))
+    for band in (b0, b0 + 1):
+        m = bands.segments(band)
+        empty = m - np.count_nonzero(np.bincount(segment_of(s, band, m), minlength=m))
+        out.append((band, max(bands.agreeing(band, 0) - empty - 1, 0)))
+    return out
+
+
 def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None = None) -> np.ndarray:
     """Signatures of a set in its own band and the next: band, segment and the subset's hash."""
     out, b0 = [], bands.of(len(s))
@@ -111,7 +129,7 @@ def signatures(s: np.ndarray, bands: Bands, allocation: dict, only: set | None =
         if not len(s) or only is not None and band not in only:
             continue
         m = bands.segments(band)
-        segment = ((mix64(s + U(band + 1)) >> U(11)) % U(m)).astype(np.int64)
+        segment = segment_of(s, band, m)
         values = mix64(s ^ U(0xA5A5A5A5))
         subset = sums_by(segment, values, m)
         head = (U(band) << U(SEGMENT_BITS + HASH_BITS)) | ((np.arange(m, dtype=np.uint64) & U((1 << SEGMENT_BITS) - 1)) << U(HASH_BITS))
@@ -227,22 +245,29 @@ def pointers(texts: DataFrame, k: int, bands: Bands, allocation: dict, only=None
             .sortWithinPartitions("sig", "class").mapInArrow(over_tasks, kind))
 
 
-def allocate(spark: SparkSession, members: DataFrame, classes: DataFrame, bands: Bands) -> dict:
-    """band -> (skipped segments, one-deletion segments), where the exchange costs less.
+def allocate(spark: SparkSession, rest: DataFrame, classes: DataFrame, bands: Bands) -> dict:
+    """band -> (skipped segments, one-deletion segments), where the exchange costs less than the open members (sig, class).
 
     One row for each band, of which there are some dozens, and one for each segment that costs more than an
     exchange come to the driver.
     """
-    emitted = {}
-    for r in classes.groupBy(bands.of_column(F.col("n")).alias("band")).agg(F.sum("n").alias("n")).collect():
+    sets, shingles = {}, {}
+    for r in classes.groupBy(bands.of_column(F.col("n")).alias("band")).agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect():
         for band in (r["band"], r["band"] + 1):
-            emitted[band] = emitted.get(band, 0.0) + ROW_COST * r["n"]
-    if not emitted:
+            sets[band] = sets.get(band, 0) + r["c"]
+            shingles[band] = shingles.get(band, 0) + r["n"]
+    if not sets:
         return {}
-    limit = spark.createDataFrame([(b, (1 + DELETION_FACTOR) * n / bands.segments(b)) for b, n in emitted.items()], "band long, least double")
+
+    def exchange(band: int) -> float:
+        each = shingles[band] / sets[band] / bands.segments(band)        # shingles of a set in a segment
+        bare = sets[band] * (1 + each) * math.exp(-each)                 # sets with one at most
+        return ROW_COST * ((1 + DELETION_FACTOR) * shingles[band] / bands.segments(band) + bare * bare / 2)
+
+    limit = spark.createDataFrame([(b, float(exchange(b))) for b in sets], "band long, least double")
     cell = F.shiftrightunsigned("sig", HASH_BITS)
-    groups = members.groupBy("sig").agg(F.count("*").alias("c"))
-    cells = (groups.groupBy(cell.alias("cell")).agg((F.sum(F.col("c") * (F.col("c") + 1)) / 2 * PAIR_COST).alias("pairs"))
+    groups = rest.groupBy("sig").agg(F.count("*").alias("c"))
+    cells = (groups.groupBy(cell.alias("cell")).agg((F.sum(F.col("c") * (F.col("c") - 1)) / 2 * PAIR_COST).alias("pairs"))
              .withColumn("band", F.shiftrightunsigned("cell", SEGMENT_BITS)))
     hot: dict[int, list] = {}
     for r in cells.join(F.broadcast(limit), "band").filter(F.col("pairs") > F.col("least")).orderBy(F.desc("pairs"), "cell").collect():
@@ -327,22 +352,30 @@ def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.select("sig", "class", "size").unionByName(rows.select("sig", F.col("hub").alias("class"), "size")).distinct()
 
 
-def labelled(rest: DataFrame, parts: DataFrame) -> DataFrame:
-    """(sig, class, size, component): open members with the components found so far."""
-    part = small_side(parts, MAX_BROADCAST).select(F.col("node").alias("class"), "component")
-    return rest.join(part, "class", "left").withColumn("component", F.coalesce("component", "class"))
+def rarest(rest: DataFrame, texts: DataFrame, k: int, bands: Bands) -> DataFrame:
+    """(sig, class): open members without the largest groups that each class can leave, by band (``spare``)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher(fold=True)
+        for b in batches:
+            for first, held in chunks(b["text"]):
+                rows = [(c, band, n) for c, s in zip(b["class"].to_numpy()[first:first + len(held)], text_sets(held, hasher, k))
+                        for band, n in spare(s, bands) if n]
+                yield pd.DataFrame(rows, columns=["class", "band", "spare"]).astype("int64")
 
+    own = texts.mapInPandas(run, "class long, band long, spare long").withColumn("sig", F.lit(None).cast("long")).withColumn("size", F.lit(0).cast("long"))
+    both = rest.withColumn("band", F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)).withColumn("spare", F.lit(0).cast("long")).unionByName(own)
+    of_class = Window.partitionBy("class", "band")      # at most the signatures of one set
+    return (both.withColumn("leaves", F.max("spare").over(of_class))
+            .withColumn("rank", F.row_number().over(of_class.orderBy(F.desc("size"), "sig")))
+            .filter("sig is not null and rank > leaves").select("sig", "class"))
 
-def hub_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a large group with those of another component among its hubs, which are the
-    members of least hash in each of HUBS buckets: groups that share members tend to share hubs."""
-    h, rows = F.xxhash64("class"), members.filter(F.col("size") > BLOCK)
-    hubs = (rows.groupBy("sig", F.pmod(h, F.lit(HUBS)).alias("bucket"))
-            .agg(F.min(F.struct(h.alias("h"), "class", "component")).alias("hub"))
-            .groupBy("sig").agg(F.collect_list("hub").alias("hubs")))                    # HUBS at most
-    apart = F.filter("hubs", lambda x: x["component"] != F.col("component"))
-    return (rows.join(hubs, "sig").select("class", F.explode(apart["class"]).alias("hub"))
-            .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct())
+
+def labelled(rest: DataFrame, parts: DataFrame) -> DataFrame:
+    """(sig, class, size, component): members of groups that still hold several of the components found so far."""
+    part = small_side(parts, MAX_BROADCAST).select(F.col("node").alias("class"), "component")
+    rows = rest.join(part, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    several = rows.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return rows.join(several.select("sig", "size"), "sig")
 
 
 def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -408,13 +441,6 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
     bands = Bands(percent, largest)
     texts = class_texts(docs, classes)
     members = stored(spark, pointers(texts, k, bands, {}), "members")
-    allocation = allocate(spark, members, classes, bands)
-    if allocation:
-        again = set(allocation)
-        band = F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)
-        fresh = stored(spark, members.filter(~band.isin(*again)).unionByName(pointers(texts, k, bands, allocation, again)), "members-again")
-        drop_stored(spark, members)
-        members = fresh
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(spark, stored(spark, likely(pairs, classes, percent), "likely"), docs, classes, k, percent)
@@ -439,14 +465,25 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
     edges = edges.unionByName(verify(others))
     parts = stored(spark, components(spark, edges), "components")
 
-    rest = stored(spark, open_members(members, parts), "open")
-    sketches = classes.select("class", "n", "sketch")
-    for step in (hub_pairs, lambda m: block_pairs(m.join(sketches, "class"), percent, True),
-                 lambda m: block_pairs(m.join(sketches, "class"), percent, False)):
-        if rest.isEmpty():
+    found = stored(spark, open_members(members, parts), "open")
+    drop_stored(spark, members, pairs, best, ends)
+    some = stored(spark, classes.join(found.select("class").distinct(), "class"), "open-classes")
+    open_texts = class_texts(docs, some)
+    rest = stored(spark, rarest(found, open_texts, k, bands), "rarest")
+    drop_stored(spark, found)
+    if allocation := allocate(spark, rest, some, bands):       # linked sets that are still apart are both in ``some``
+        fresh = stored(spark, pointers(open_texts, k, bands, allocation, set(allocation)), "exchanged")
+        grouped = fresh.select("sig", "class").unionByName(fresh.select("sig", F.col("hub").alias("class"))).distinct()
+        band = F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)
+        rest = stored(spark, rest.filter(~band.isin(*allocation)).unionByName(grouped), "rarest-again")
+    sketches = some.select("class", "n", "sketch")
+    for nearest in (True, False):
+        still = stored(spark, labelled(rest, parts), "still-open")
+        if still.isEmpty():
             break
-        more = stored(spark, step(labelled(rest, parts)), "open-pairs")
+        more = stored(spark, block_pairs(still.join(sketches, "class"), percent, nearest), "open-pairs")
         links = verify(more) if not more.isEmpty() else more
+        drop_stored(spark, still)
         if not links.isEmpty():
             edges = edges.unionByName(links)
             parts = stored(spark, components(spark, edges), "components")

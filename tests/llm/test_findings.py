@@ -144,6 +144,25 @@ def test_linked_sets_share_a_signature(percent):
                 assert len(np.intersect1d(a, b))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_more_signatures_than_either_can_spare(percent):
+    """So the rarest that they share is left, whichever order the signatures of a band are left in."""
+    rnd = np.random.default_rng(percent + 1)
+    bands, spared = jaccard_join.Bands(percent, 5000), 0
+    for n in (2, 3, 9, 25, 60, 200, 450, 900, 3000):
+        for _ in range(15):
+            s = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+            t = np.delete(s, rnd.permutation(len(s))[:int(len(s) * (100 - percent) / 100)])
+            both = np.intersect1d(*(jaccard_join.signatures(x, bands, {}) for x in (s, t)))
+            band = both >> np.uint64(jaccard_join.SEGMENT_BITS + jaccard_join.HASH_BITS)
+            a, b = (dict(jaccard_join.spare(x, bands)) for x in (s, t))
+            assert set(a) & set(b)
+            for at in set(a) & set(b):
+                assert (band == at).sum() > max(a[at], b[at])
+                spared += a[at] + b[at]
+    assert spared
+
+
 def test_passages_of_words_in_what_is_left(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(40)]
