@@ -23,7 +23,7 @@ from ..schema import CORRUPT_COLUMN
 from ..session import path_exists, scratch_path
 from ..sinks.files import read_csv, write_csv, write_daily
 from ..sources.daily import read_daily
-from ..sources.goods import GOODS_ORDER, LANDED_DS, goods_items, land_damaged_goods, land_goods
+from ..sources.goods import LANDED_DS, goods_items, goods_source, land_damaged_goods, land_goods
 from ..sources.html_tables import html_first_table, pages_without_table
 from ..sources.landing import read_landed_pages, write_landed_pages
 from ..sources.reference_pages import pages_with_table
@@ -95,7 +95,9 @@ def q_unit_price_sums(spark, sf_dir):
 
 
 def q_keep_first_by_url(spark, sf_dir):
-    return project_items(keep_first(items_of(spark, sf_dir), ("storeId", "webUrl"), GOODS_ORDER))
+    """The first listing of each store and URL: as in the crawl, its item is made of a row that is kept."""
+    rows, order = goods_source(table(spark, sf_dir, "lineitem"))
+    return project_items(goods_items(keep_first(rows, ("storeId", "webUrl"), order)))
 
 
 # --- text, time, JSON -----------------------------------------------------------

@@ -87,6 +87,16 @@ def goods(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*[v.alias(k) for k, v in _goods_fields(F.col).items()])
 
 
+def goods_source(lineitem: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """(the columns that ``goods`` are made of with the key of a listing, the names that order them as GOODS_ORDER does).
+
+    A row is less than half as long as its item; only what the order needs and ``lineitem`` does not hold is built.
+    """
+    fields, same = _goods_fields(F.col), {"regularPrice": "l_extendedprice", "subcategoryName": "l_returnflag"}
+    built = [fields[k].alias(k) for k in ("storeId", "webUrl", "discountPrice", "subTitle")]
+    return lineitem.select(*GOODS_SOURCE, *built), tuple(same.get(k, k) for k in GOODS_ORDER)
+
+
 def goods_items(lineitem: DataFrame) -> DataFrame:
     """The cleaned item table of ``goods`` (what ingest yields before keep-first),
     with the ordering keys kept in front."""
