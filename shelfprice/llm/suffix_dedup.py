@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Hasher, U, Words, lookup, mix64, powers, stored, table, utf8
+from .common import Hasher, U, Words, drop_stored, lookup, mix64, powers, stored, table, utf8
 
 LENGTH, ANCHOR = 400, 128
 WORDS, SEED = 51, 16
@@ -186,12 +186,16 @@ def extents_by_windows(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANCHOR, max_contexts=MAX_CONTEXTS) -> DataFrame:
-    """(k1, k2, spans): byte spans that repeat, not yet merged, of rows (k1, k2, text)."""
+    """(k1, k2, spans), stored: byte spans that repeat, not yet merged, of rows (k1, k2, text).
+
+    What a step stores goes as soon as the last step that reads it is stored.
+    """
     occ = stored(spark, occurrences(rows, length, anchor), "occurrences")
     # all that is summed here are longs: partial sums shrink copies before the shuffle
     by_anchor = stored(spark, occ.groupBy("a").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
                        .filter("n > 1").select("a", (F.col("lo") < F.col("hi")).alias("varied")), "anchors")
     several = stored(spark, occ.join(by_anchor, "a"), "several")
+    drop_stored(spark, occ, by_anchor)
     by_context = stored(spark, several.groupBy("a", "x").agg(
         F.count("*").alias("n"), F.first("varied").alias("varied"), F.first("k1").alias("k1"), F.first("k2").alias("k2"),
         F.first("at").alias("at"), F.first("left").alias("left"), F.first("right").alias("right")), "contexts")
@@ -207,15 +211,20 @@ def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANC
                 yield pd.DataFrame({"a": a, "x": x, "left": left,
                                     "context": [data[p - lo:p + hi] for p, lo, hi in zip(at, left, right)]})
 
-    texts = rows.join(stored(spark, wanted, "wanted"), ["k1", "k2"]).select("text", *[F.col("want")[c].alias(c) for c in ("a", "x", "at", "left", "right")])
+    wanted = stored(spark, wanted, "wanted")
+    texts = rows.join(wanted, ["k1", "k2"]).select("text", *[F.col("want")[c].alias(c) for c in ("a", "x", "at", "left", "right")])
     cuts = stored(spark, texts.mapInPandas(cut, "a long, x long, left int, context binary")
                   .groupBy("a", "x").agg(F.first("left").alias("left"), F.first("context").alias("context")), "cuts")
+    drop_stored(spark, wanted)
     crowded = stored(spark, cuts.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > max_contexts).select("a"), "crowded")
     extents = stored(spark, whole.unionByName(extents_by_sorting(cuts.join(crowded, "a", "left_anti"), length))
                      .unionByName(extents_by_windows(cuts.join(crowded, "a"), length)), "extents")
+    drop_stored(spark, by_context, cuts, crowded)
     spans = several.join(extents, ["a", "x"]).select("k1", "k2", F.struct(
         (F.col("at") + F.col("lo")).alias("start"), (F.col("at") + F.col("hi")).alias("end")).alias("span")).distinct()
-    return spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
+    out = stored(spark, spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans")), "spans")
+    drop_stored(spark, several, extents)
+    return out
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +239,7 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text"
     """(id, n_bytes, removed, kept) of every row: the spans removed, merged, and the bytes left."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(8), text).alias("k2"))
-    spans = stored(spark, repeat_spans(spark, rows.select("k1", "k2", "text"), **options), "spans")
+    spans = repeat_spans(spark, rows.select("k1", "k2", "text"), **options)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -300,9 +309,12 @@ def passages(spark: SparkSession, found: DataFrame, words=WORDS, seed=SEED) -> D
         return rows.groupBy(key).agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo < hi").select(key)
 
     every = stored(spark, found.select("row", "removed", "kept").mapInPandas(seeds, "row long, seed long"), "seeds")
-    mine = every.join(stored(spark, elsewhere(every, "seed"), "shared-seeds"), "seed").groupBy("row").agg(F.collect_list("seed").alias("seeds"))
-    some = stored(spark, found.select("row", "removed", "kept").join(stored(spark, mine, "seeds-of"), "row").mapInPandas(
+    shared = stored(spark, elsewhere(every, "seed"), "shared-seeds")
+    mine = stored(spark, every.join(shared, "seed").groupBy("row").agg(F.collect_list("seed").alias("seeds")), "seeds-of")
+    drop_stored(spark, every, shared)
+    some = stored(spark, found.select("row", "removed", "kept").join(mine, "row").mapInPandas(
         chosen, "row long, at long, w long"), "windows")
+    drop_stored(spark, mine)
     hit = some.join(stored(spark, elsewhere(some, "w"), "shared-windows"), "w").groupBy("row").agg(
         F.array_sort(F.collect_list("at")).alias("at"))
     starts = F.filter("at", lambda p, i: (i == 0) | (p != F.get("at", i - 1) + 1))
