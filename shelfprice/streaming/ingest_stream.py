@@ -41,7 +41,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.items import DEDUPE_KEYS
 from ..plans.jobs import Tables, crawl_items
 from ..schema import ITEM
-from ..session import list_path, path_exists, remove_path
+from ..session import list_path, path_exists, remove_path, shuffles_removed
 from ..sinks.files import daily_path, write_csv
 from ..sources.landing import bad_line_ledger, parse_lines, read_lines
 
@@ -64,7 +64,8 @@ class KeyIndex:
     def add(self, items: DataFrame) -> None:
         """Adds the keys of ``items``: one file in each bucket they touch."""
         keys = _hashed(items).select("bucket", "k1", "k2")
-        keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.path)
+        with shuffles_removed(self.spark):
+            keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.path)
 
     def keys_of(self, buckets: list[int]) -> DataFrame:
         """(k1, k2) of the given buckets; the others are not read."""
@@ -86,7 +87,8 @@ def _add_bad_lines(lines: DataFrame, path: str) -> None:
     if path_exists(spark, path):
         held = spark.read.schema(bad.schema).parquet(path).select("source_file", "line_no")
         bad = bad.join(held, ["source_file", "line_no"], "left_anti")
-    bad.write.mode("append").parquet(path)
+    with shuffles_removed(spark):
+        bad.write.mode("append").parquet(path)
 
 
 def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, checkpoint: str,
@@ -119,20 +121,24 @@ def stream_ingest(spark: SparkSession, landing: str, tables: Tables, ds: str, ch
         keys = written_keys(spark_)
         parsed = f"{root}/parsed/batch-{batch_id:08d}"
         pages = parse_lines(batch)
-        pages.write.mode("overwrite").parquet(parsed)
+        pages.write.mode("overwrite").option("compression", "zstd").parquet(parsed)
         landed = spark_.read.schema(pages.schema).parquet(parsed)
         _add_bad_lines(landed, bad_out)
         staged = f"{root}/staged/batch-{batch_id:08d}"
         again = csv_out is not None and path_exists(spark_, staged + "/_SUCCESS")      # an earlier try came this far
         if not again:
             first = f"{root}/first/batch-{batch_id:08d}"
-            crawl_items(landed.filter(~F.col("blank"))).write.mode("overwrite").parquet(first)
-            keys.unseen(spark_.read.schema(ITEM).parquet(first)).write.mode("overwrite").parquet(staged)
+            with shuffles_removed(spark_):
+                crawl_items(landed.filter(~F.col("blank"))).write.mode("overwrite").option("compression", "zstd").parquet(first)
+                remove_path(spark_, parsed)
+                keys.unseen(spark_.read.schema(ITEM).parquet(first)).write.mode("overwrite").option("compression", "zstd").parquet(staged)
             remove_path(spark_, first)
+        else:
+            remove_path(spark_, parsed)
         new = spark_.read.schema(ITEM).parquet(staged)
-        (keys.unseen(new) if again else new).write.mode("append").parquet(out)
+        with shuffles_removed(spark_):
+            (keys.unseen(new) if again else new).write.mode("append").option("compression", "zstd").parquet(out)
         keys.add(new.select(*DEDUPE_KEYS))
-        remove_path(spark_, parsed)
         if csv_out is None:
             remove_path(spark_, staged)
         else:
