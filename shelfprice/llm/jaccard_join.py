@@ -50,7 +50,7 @@ BLOCK = 1024                   # members compared at once
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
 HELD = 1 << 17                 # signatures a task groups at once
 SEGMENT_BITS, HASH_BITS = 17, 40
-PAIR_COST, ROW_COST = 1, 1     # of one candidate pair, and of one more signature or one more pair by an exchange
+PAIR_COST, ROW_COST = 1, 64    # of comparing the sketches of one pair, and of making, shuffling and joining one more signature
 DELETION_FACTOR = 2            # pairs that a one-deletion neighbourhood adds, over the rows it takes
 
 
@@ -262,7 +262,7 @@ def allocate(spark: SparkSession, rest: DataFrame, classes: DataFrame, bands: Ba
     def exchange(band: int) -> float:
         each = shingles[band] / sets[band] / bands.segments(band)        # shingles of a set in a segment
         bare = sets[band] * (1 + each) * math.exp(-each)                 # sets with one at most
-        return ROW_COST * ((1 + DELETION_FACTOR) * shingles[band] / bands.segments(band) + bare * bare / 2)
+        return ROW_COST * (1 + DELETION_FACTOR) * shingles[band] / bands.segments(band) + PAIR_COST * bare * bare / 2
 
     limit = spark.createDataFrame([(b, float(exchange(b))) for b in sets], "band long, least double")
     cell = F.shiftrightunsigned("sig", HASH_BITS)
