@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Hasher, U, Words, drop_stored, lookup, mix64, powers, stored, table, utf8
+from .common import CHUNK_BYTES, Hasher, U, Words, chunks, drop_stored, lookup, mix64, powers, stored, table, utf8
 
 LENGTH, ANCHOR = 400, 128
 WORDS, SEED = 51, 16
@@ -41,23 +41,24 @@ MAX_CONTEXTS = 16_384          # about 11 MB of contexts; sorted in one task
 
 
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w consecutive values, from running minima of blocks of w."""
-    n = len(x) - w + 1
-    pad = np.full(-len(x) % w, np.iinfo(np.uint64).max, np.uint64)
-    blocks = np.concatenate([x, pad]).reshape(-1, w)
-    forward = np.minimum.accumulate(blocks, 1).ravel()
-    backward = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(backward[:n], forward[w - 1:w - 1 + n])
+    """Minimum of every w consecutive values, from minima of 1, 2, 4 and more of them."""
+    n, k = len(x) - w + 1, 1
+    while 2 * k <= w:
+        x = np.minimum(x[:-k], x[k:])
+        k *= 2
+    return np.minimum(x[:n], x[w - k:w - k + n])
 
 
-def anchors(c: np.ndarray, size: int, hasher: Hasher, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes): substrings that are the smallest of some window."""
+def anchors(c: np.ndarray, owner: np.ndarray, hasher: Hasher, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes): substrings that are the smallest of some window; ``owner`` is the text of each byte, and no window spans two."""
+    size = len(owner)
     if size < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     start = np.arange(size - anchor + 1)
     h = hasher.spans(c, start, start + anchor)
     w = length - anchor + 1
     least = window_min(h, w)                                       # of the windows, by their start
+    least[owner[:size - length + 1] != owner[length - 1:]] = 0
     # a place is taken if the largest of the minima over it is its own hash
     edge = np.full(w - 1, np.iinfo(np.uint64).max, np.uint64)
     over = ~window_min(np.concatenate([edge, ~least, edge]), w)
@@ -70,25 +71,19 @@ def occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, reach = Hasher(fold=False), length - anchor
         for b in batches:
-            out, size = [], 0
-            for k1, k2, text in zip(b["k1"], b["k2"], b["text"]):
-                data = np.frombuffer(utf8(text), np.uint8)
-                if len(data) < length:
+            k1, k2 = b["k1"].to_numpy(), b["k2"].to_numpy()
+            for first, held in chunks(b["text"]):
+                sizes = np.array([len(t) for t in held])
+                edges, owner = np.concatenate([[0], np.cumsum(sizes)]), np.repeat(np.arange(len(held)), sizes)
+                c = hasher.prefix(np.frombuffer(b"".join(held), np.uint8))
+                at, h = anchors(c, owner, hasher, length, anchor)
+                if not len(at):
                     continue
-                c = hasher.prefix(data)
-                at, h = anchors(c, len(data), hasher, length, anchor)
-                lo, hi = np.maximum(at - reach, 0), np.minimum(at + length, len(data))
+                own = owner[at]
+                lo, hi = np.maximum(at - reach, edges[own]), np.minimum(at + length, edges[own + 1])
                 x = mix64(hasher.spans(c, lo, hi) + U(3) * hasher.spans(c, at, hi))
-                out.append((h.view(np.int64), x.view(np.int64), np.full(len(at), k1), np.full(len(at), k2), at, at - lo, hi - at))
-                size += len(at)
-                if size > 1 << 17:
-                    yield frame(out)
-                    out, size = [], 0
-            if out:
-                yield frame(out)
-
-    def frame(parts) -> pd.DataFrame:
-        return pd.DataFrame(dict(zip(("a", "x", "k1", "k2", "at", "left", "right"), map(np.concatenate, zip(*parts)))))
+                yield pd.DataFrame({"a": h.view(np.int64), "x": x.view(np.int64), "k1": k1[first + own], "k2": k2[first + own],
+                                    "at": at - edges[own], "left": at - lo, "right": hi - at})
 
     return docs.mapInPandas(run, "a long, x long, k1 long, k2 long, at int, left int, right int")
 
@@ -119,6 +114,10 @@ def repeat_extents(contexts: list[bytes], lefts: list[int], length: int) -> np.n
     """
     n = len(contexts)
     data = [np.frombuffer(c, np.uint8) for c in contexts]
+    if n == 2:                                         # most anchors: what the two share on either side
+        (p, q), (x, y) = lefts, data
+        back, depth = agree(x[:p][::-1], y[:q][::-1]), agree(x[p:], y[q:])
+        return np.full((2, 2), (back, depth) if back + depth >= length else (0, 0), np.int64)
     order = sorted(range(n), key=lambda i: contexts[i][lefts[i]:])
     right = [data[i][lefts[i]:] for i in order]
     lcp = [agree(x, y) for x, y in zip(right, right[1:])]
@@ -206,10 +205,22 @@ def repeat_spans(spark: SparkSession, rows: DataFrame, length=LENGTH, anchor=ANC
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            held, size = [], 0
             for text, a, x, at, left, right in zip(*(b[c] for c in ("text", "a", "x", "at", "left", "right"))):
                 data = utf8(text)
-                yield pd.DataFrame({"a": a, "x": x, "left": left,
-                                    "context": [data[p - lo:p + hi] for p, lo, hi in zip(at, left, right)]})
+                held.append((a, x, left, [data[p - lo:p + hi] for p, lo, hi in zip(at, left, right)]))
+                size += len(at)
+                if size > 1 << 13:
+                    yield frame(held)
+                    held, size = [], 0
+            if held:
+                yield frame(held)
+
+    def frame(held) -> pd.DataFrame:
+        """One for many texts: making a frame takes longer than cutting a text."""
+        a, x, left, context = zip(*held)
+        return pd.DataFrame({"a": np.concatenate(a), "x": np.concatenate(x), "left": np.concatenate(left),
+                             "context": [c for each in context for c in each]})
 
     wanted = stored(spark, wanted, "wanted")
     texts = rows.join(wanted, ["k1", "k2"]).select("text", *[F.col("want")[c].alias(c) for c in ("a", "x", "at", "left", "right")])
@@ -265,32 +276,50 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col="doc_id", text_col="text"
         cut, f"id {kind}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
 
 
-def word_windows(kept: bytes, cuts: list[int], hasher: Hasher, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of its first word, seed, hash) of every window of ``words`` words of a text; none spans one of the ``cuts``."""
-    out, number = [], 0
-    for a, b in zip([0, *cuts], [*cuts, len(kept)]):
-        h = mix64(Words([kept[a:b]], hasher).hash)
-        if len(h) >= words:
-            up, down = powers(len(h) + 1)
-            c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:len(h)], dtype=np.uint64)])
-            runs = [mix64((c[k:] - c[:-k]) * down[:len(c) - k] + U(k)) for k in (seed, words)]
-            out.append((np.arange(number, number + len(runs[1])), window_min(runs[0], words - seed + 1), runs[1]))
-        number += len(h) + 1
-    none = np.zeros(0, np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (none.astype(np.int64), none, none)
+def word_windows(rows: list[tuple[bytes, list[int]]], hasher: Hasher, words: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of its first word, seed, hash) of every window of ``words`` words, for each row (text, its cuts); none spans a cut."""
+    pieces, texts = [], np.zeros(len(rows) + 1, np.int64)          # texts: the first piece of each row
+    for i, (kept, cuts) in enumerate(rows):
+        pieces += [kept[a:b] for a, b in zip([0, *cuts], [*cuts, len(kept)])]
+        texts[i + 1] = len(pieces)
+    found = Words(pieces, hasher)
+    h, bounds = mix64(found.hash), found.bounds
+    # words are numbered in their text, with a gap at every cut
+    gaps = bounds[:-1] + np.arange(len(pieces))
+    number = gaps - np.repeat(gaps[texts[:-1]], np.diff(texts))
+    if len(h) >= len(hasher.pow):
+        hasher.pow, hasher.inv = powers(2 * len(h) + 2)
+    c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * hasher.pow[:len(h)], dtype=np.uint64)])
+    runs = [mix64((c[k:] - c[:-k]) * hasher.inv[:max(len(c) - k, 0)] + U(k)) for k in (seed, words)]
+    least = window_min(runs[0], words - seed + 1) if len(runs[1]) else runs[1]
+    piece = np.repeat(np.arange(len(pieces)), np.diff(bounds))[:len(runs[1])]
+    whole = np.flatnonzero(np.arange(len(runs[1])) + words <= bounds[1:][piece])
+    piece = piece[whole]
+    at = whole - bounds[piece] + number[piece]
+    edges = np.searchsorted(piece, texts)
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield at[a:b], least[whole[a:b]], runs[1][whole[a:b]]
 
 
 def passages(spark: SparkSession, found: DataFrame, words=WORDS, seed=SEED) -> DataFrame:
     """(row, n): runs of ``words`` words or more, as long as can be, that another row of the stored ``found`` (row, removed,
     kept) holds too, within what is left of the texts."""
     def windows(b: pd.DataFrame):
-        hasher = Hasher(fold=True)
-        for row, removed, kept in zip(b["row"], b["removed"], b["kept"]):
+        hasher, rows = Hasher(fold=True), []
+        for removed, kept in zip(b["removed"], b["kept"]):
             cuts, gone = [], 0
             for s in removed:
                 cuts.append(s["start"] - gone)
                 gone += s["end"] - s["start"]
-            yield row, *word_windows(kept, cuts, hasher, words, seed)
+            rows.append((kept, cuts))
+        at = 0
+        while at < len(rows):                              # texts of CHUNK_BYTES together, or a longer one
+            end, size = at + 1, len(rows[at][0])
+            while end < len(rows) and size + len(rows[end][0]) <= CHUNK_BYTES:
+                size += len(rows[end][0])
+                end += 1
+            yield from ((row, *found) for row, found in zip(b["row"].iloc[at:end], word_windows(rows[at:end], hasher, words, seed)))
+            at = end
 
     def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
