@@ -3,7 +3,10 @@
 import os
 import random
 
-from shelfprice.llm import suffix_dedup
+import pandas as pd
+from pyspark.sql import functions as F
+
+from shelfprice.llm import common, suffix_dedup
 from shelfprice.session import checkpoint_root
 
 
@@ -24,3 +27,15 @@ def test_suffix_dedup_keeps_only_what_is_still_read(spark, scratch):
     left = {d.rpartition("/")[2] for d in folders(root) - before}
     assert "found" in left
     assert not left & {"occurrences", "anchors", "several", "contexts", "wanted", "cuts", "crowded", "extents", "seeds", "shared-seeds", "seeds-of"}
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """10,000 rows make a batch whatever their size, unless the bytes of a batch are limited too."""
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [b["text"].str.len().sum()]})
+
+    docs = spark.range(3000, numPartitions=1).select(F.rpad(F.col("id").cast("string"), 10_000, "x").alias("text"))
+    seen = [r["n"] for r in common.stored(spark, docs.mapInPandas(sizes, "n long"), "sizes").collect()]
+    assert sum(seen) == 3000 * 10_000 and max(seen) <= 2 * common.BATCH_BYTES
+    assert spark.conf.get(common.BATCH_SETTING) != str(common.BATCH_BYTES)
