@@ -19,12 +19,15 @@ empty subsets uses that number.
    those are compared that still join different ones.  The links give components.
 4. Groups that then hold several components are open.  Linked sets agree in so many indexed segments, A, that each can
    leave A - 1 of its open groups: it leaves the largest, which common lines and passages make, and of the groups that a linked
-   pair shares the smallest still holds both.  Segments are exchanged by what is left.  Members of it are compared in blocks, first each with the nearest of
-   every other component, then, in what is still open, all with all of other components; what may be linked is verified exactly.
-
-Comparisons first use a sketch, one bit for each of BITS cells that says whether an odd number of the set's shingles fall
-there: sketches never differ in more bits than the sets do in shingles, so no linked pair is lost, and at the
-similarities asked for hardly any other pair is left.  Verification intersects whole shingle sets.
+   pair shares the smallest still holds both.  Segments are exchanged by what is left.  Members of it are compared in blocks, all with
+   all of other components.  Of the pairs that may be linked first only the nearest are verified exactly that join a block's components to
+   one another (a spanning forest, fewer rows than the block has members), then, in what is still open, all.
+
+Comparisons first use a sketch, one bit for each cell that says whether an odd number of the set's shingles fall
+there: sketches never differ in more bits than the sets do in shingles, so no linked pair is lost.  A set has BITS cells, a larger one
+as many as shingles at least (fewer are full, and let pairs that have nothing in common pass), so at the similarities asked
+for hardly any other pair is left.  The longer of two sketches is folded: cells that are equal modulo the fewer are added up.
+Verification intersects whole shingle sets.
 Shingles are compared by 64-bit hashes.
 
 Defined results: words are as in ``common``; a text with fewer words than a shingle is one
@@ -45,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import (Hasher, U, Words, chunks, components, drop_stored, mix64, new_name, shingle_hashes, small_side, stored, table)
 
-BITS = 2048                    # of the sketch
+BITS = 2048                    # of the sketch, more for sets of more shingles
 BLOCK = 1024                   # members compared at once
 MAX_BROADCAST = 1_000_000      # rows of (long) keys; more are joined by shuffle
 HELD = 1 << 17                 # signatures a task groups at once
@@ -90,8 +93,13 @@ class Bands:
         return F.size(F.filter(F.array(*map(F.lit, self.high)), lambda x: x < n))
 
 
-def sketch(s: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % BITS, minlength=BITS) & 1).tobytes()
+def cells(n: int) -> int:
+    """Bits of the sketch of n shingles: a power of two, n at least."""
+    return max(BITS, 1 << max(n - 1, 0).bit_length())
+
+
+def sketch(s: np.ndarray, bits: int = BITS) -> bytes:
+    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % bits, minlength=bits) & 1).tobytes()
 
 
 def sums_by(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -175,7 +183,7 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
                 for s in text_sets(held, hasher, k):
                     keys.append(set_key(s))
                     sizes.append(len(s))
-                    sketches.append(sketch(s))
+                    sketches.append(sketch(s, cells(len(s))))
             yield pd.DataFrame({"id": b["id"], "text_key": b["text_key"], "k1": [x[0] for x in keys],
                                 "k2": [x[1] for x in keys], "n": np.array(sizes, np.int64), "sketch": sketches})
 
@@ -294,15 +302,79 @@ def may_link(bits: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) ->
 
 
 def sketch_array(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITS // 64)
+    """Sketches of one length, as rows."""
+    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), -1)
+
+
+class Sketches:
+    """Sketches of a column, as one array for each length: of those that are as long or longer, folded to it."""
+
+    def __init__(self, column):
+        column = list(column)
+        self.length = np.array([len(x) for x in column], np.int64)
+        self.levels = {}
+        for size in np.unique(np.append(self.length, BITS // 8)).tolist():
+            rows = np.flatnonzero(self.length >= size)
+            place = np.zeros(len(column), np.int64)
+            place[rows] = np.arange(len(rows))
+            folded = np.zeros((len(rows), size // 8), np.uint64)
+            for own in np.unique(self.length[rows]).tolist():
+                some = np.flatnonzero(self.length[rows] == own)
+                whole = sketch_array([column[i] for i in rows[some]])
+                folded[some] = np.bitwise_xor.reduce(whole.reshape(len(some), own // size, size // 8), axis=1)
+            self.levels[size] = place, folded
+
+    def differing(self, i: np.ndarray, other: Sketches, j: np.ndarray, size: int) -> np.ndarray:
+        """Bits that sketches i differ in from sketches j of the other column, both folded to ``size`` bytes."""
+        (at, a), (to, b) = self.levels[size], other.levels[size]
+        return differing_bits(a[at[i]], b[to[j]])
+
+
+def near(a: Sketches, b: Sketches, i: np.ndarray, j: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whether sketches i of a and j of b allow a link, bits they differ in): shortest length first, then that of the shorter one."""
+    bits = a.differing(i, b, j, BITS // 8)
+    ok = may_link(bits, na, nb, percent)
+    shorter = np.minimum(a.length[i], b.length[j])
+    for size in np.unique(shorter[ok]).tolist():
+        if size > BITS // 8:
+            at = np.flatnonzero(ok & (shorter == size))
+            bits[at] = a.differing(i[at], b, j[at], size)
+            ok[at] = may_link(bits[at], na[at], nb[at], percent)
+    return ok, bits
+
+
+def forest(one: np.ndarray, two: np.ndarray, nodes: int) -> np.ndarray:
+    """Indices of the edges of a least spanning forest, edges being given in order: each tree takes its first edge to another, until none has one."""
+    root, at, out = np.arange(nodes), np.arange(len(one)), []
+    while len(at):
+        a, b = root[one[at]], root[two[at]]
+        at, a, b = (x[a != b] for x in (at, a, b))
+        first = np.full(nodes, len(at))
+        np.minimum.at(first, a, np.arange(len(at)))
+        np.minimum.at(first, b, np.arange(len(at)))
+        use = np.unique(first[first < len(at)])
+        out.append(at[use])
+        up = np.arange(nodes)
+        for x, y in zip(a[use].tolist(), b[use].tolist()):
+            while up[x] != x:
+                x = up[x]
+            while up[y] != y:
+                y = up[y]
+            up[max(x, y)] = min(x, y)
+        while (up[up] != up).any():
+            up = up[up]
+        root = up[root]
+    return np.concatenate(out) if out else at
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches allow a link."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            bits = differing_bits(sketch_array(b["sketch"]), sketch_array(b["other_sketch"])) if len(b) else np.zeros(0, np.int64)
-            yield b.loc[may_link(bits, b["n"].to_numpy(), b["other_n"].to_numpy(), percent), ["a", "b"]]
+            every, both = np.arange(len(b)), pd.concat([b["sketch"], b["other_sketch"]])
+            sketches = Sketches(both)
+            ok, _ = near(sketches, sketches, every, every + len(b), b["n"].to_numpy(), b["other_n"].to_numpy(), percent)
+            yield b.loc[ok, ["a", "b"]]
 
     one = classes.select(F.col("class").alias("b"), "n", "sketch")
     two = classes.select(F.col("class").alias("a"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"))
@@ -378,13 +450,14 @@ def labelled(rest: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(several.select("sig", "size"), "sig")
 
 
-def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """(a, b) of one group but different components that may be linked, by pairs of blocks.
+def block_pairs(members: DataFrame, percent: int, nearest: bool, within: bool = False) -> DataFrame:
+    """(a, b) of one group but different components that may be linked, by pairs of blocks, or ``within`` blocks alone.
 
-    With ``nearest`` only those of least distance, for each member and other component of a pair of blocks.
+    With ``nearest`` only those of least distance that join the components of a pair of blocks to one another.
     """
     mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    m = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", mine)
+    m = m.withColumn("other", F.col("mine") if within else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = m.select("sig", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
                      "mine", "class", "component", "n", "sketch")
 
@@ -392,7 +465,7 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
         """Pairs within whole tiles, which lie one after another: rows d apart, for every d, all at once."""
         tile = np.cumsum(np.concatenate([[0], (b[["sig", "x", "y"]].to_numpy()[1:] != b[["sig", "x", "y"]].to_numpy()[:-1]).any(1)]))
         mine, key, part, n = (b[c].to_numpy() for c in ("mine", "class", "component", "n"))
-        cross, sketches, out = (b["x"] != b["y"]).to_numpy(), sketch_array(b["sketch"]), []
+        cross, sketches, out = (b["x"] != b["y"]).to_numpy(), Sketches(b["sketch"]), []
         i = np.arange(len(b))
         for d in range(1, len(b)):
             i = i[i + d < len(b)]
@@ -403,19 +476,23 @@ def block_pairs(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
             ok = (part[i] != part[j]) & (~cross[i] | (mine[i] != mine[j]))
             ok &= np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
             p, q = i[ok], j[ok]
-            bits = differing_bits(sketches[p], sketches[q])
-            ok = may_link(bits, n[p], n[q], percent)
+            ok, bits = near(sketches, sketches, p, q, n[p], n[q], percent)
             if ok.any():
                 out.append((p[ok], q[ok], bits[ok]))
         if not out:
             return pd.DataFrame({"a": key[:0], "b": key[:0]})
         i, j, bits = (np.concatenate(x) for x in zip(*out))
-        if nearest:
-            both = pd.DataFrame({"one": np.concatenate([i, j]), "part": np.concatenate([part[j], part[i]]), "bits": np.tile(bits, 2),
-                                 "row": np.tile(np.arange(len(i)), 2)}).sort_values(["one", "part", "bits", "row"])
-            use = np.unique(both.drop_duplicates(["one", "part"])["row"])
-            i, j = i[use], j[use]
-        return pd.DataFrame({"a": np.minimum(key[i], key[j]), "b": np.maximum(key[i], key[j])}).drop_duplicates()
+        a, c = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+        if nearest:                                    # ties in the order of classes, so that groups of the same members choose alike
+            order = np.lexsort((c, a, bits))
+            own = np.lexsort((part, tile))
+            new = np.ones(len(own), bool)
+            new[1:] = (tile[own[1:]] != tile[own[:-1]]) | (part[own[1:]] != part[own[:-1]])
+            node = np.zeros(len(own), np.int64)
+            node[own] = np.cumsum(new) - 1             # a component in a tile
+            use = order[forest(node[i[order]], node[j[order]], int(new.sum()))]
+            a, c = a[use], c[use]
+        return pd.DataFrame({"a": a, "b": c}).drop_duplicates()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None                                    # the tile that the last batch ended in
@@ -476,17 +553,22 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, k: in
         grouped = fresh.select("sig", "class").unionByName(fresh.select("sig", F.col("hub").alias("class"))).distinct()
         band = F.shiftrightunsigned("sig", SEGMENT_BITS + HASH_BITS)
         rest = stored(spark, rest.filter(~band.isin(*allocation)).unionByName(grouped), "rarest-again")
-    sketches = some.select("class", "n", "sketch")
-    for nearest in (True, False):
-        still = stored(spark, labelled(rest, parts), "still-open")
+    sketches, still = some.select("class", "n", "sketch"), None
+    for nearest, within in ((True, True), (True, False), (False, False)):
+        still = still or stored(spark, labelled(rest, parts), "still-open")
         if still.isEmpty():
             break
-        more = stored(spark, block_pairs(still.join(sketches, "class"), percent, nearest), "open-pairs")
-        links = verify(more) if not more.isEmpty() else more
+        if within and still.agg(F.max("size")).first()[0] <= BLOCK:     # every group is one block: the next pass does the same
+            continue
+        more = stored(spark, block_pairs(still.join(sketches, "class"), percent, nearest, within), "open-pairs")
+        links = verified(spark, more, docs, classes, k, percent) if not more.isEmpty() else more       # their sketches have been compared
         drop_stored(spark, still)
+        still = None
         if not links.isEmpty():
             edges = edges.unionByName(links)
             parts = stored(spark, components(spark, edges), "components")
+        if nearest and not within and links.count() == more.count():   # the forests of all blocks are links: what may be linked is
+            break
     return parts
 
 
